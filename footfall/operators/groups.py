@@ -46,7 +46,7 @@ def arrival_groups(
         last_seen = last_seen.where("profile_id is not null")
     return last_seen.join(numbers, ["date", "capture_time"]).select(
         "date_hour",
-        clock.hour_floor(clock.business_time(F.col("capture_time"))).alias("date_casino_hour"),
+        clock.business_hour(F.col("capture_time")).alias("date_casino_hour"),
         "profile_id",
         "region_id",
         "region_name",

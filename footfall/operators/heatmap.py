@@ -9,6 +9,9 @@ built. Captures are first reduced to one entry per second, or per minute where
 the bins count minutes. On that timeline, at most 86,400 entries long, each bin
 is a range frame around the current entry, and the nearest capture is the first
 entry of a later frame or the last entry of an earlier one.
+
+The arrays exploded here are never empty. ``explode_outer`` is used as ``explode``
+makes Spark add a filter on their size, which computes each array twice.
 """
 
 from __future__ import annotations
@@ -64,8 +67,8 @@ def _by_minute(captures: DataFrame) -> DataFrame:
     nearest = _nearest("at", frames, w)
     entries = (
         minutes.withColumns({_name(b): at for b, at in nearest.items()})
-        .withColumn("second", F.explode("seconds"))
-        .withColumn("base", F.explode("second.bases"))
+        .withColumn("second", F.explode_outer("seconds"))
+        .withColumn("base", F.explode_outer("second.bases"))
     )
     # The rest of the own minute is in bin 5: its first second, or its second
     # one seen from the first.
@@ -76,7 +79,7 @@ def _by_minute(captures: DataFrame) -> DataFrame:
     at = {b: F.col(_name(b)) for b in nearest}
     at[0] = F.col("second.at")
     at[5] = F.coalesce(own_minute, at[5])
-    return entries.withColumn("found", F.explode(_found(at))).select(
+    return entries.withColumn("found", F.explode_outer(_found(at))).select(
         "date",
         clock.hour_label(F.col("second.capture_time")).alias("date_hour"),
         "profile_id",
@@ -105,7 +108,7 @@ def _by_second(captures: DataFrame) -> DataFrame:
     return (
         captures.select("date", "profile_id", "region_name", "capture_time")
         .join(found, ["profile_id", "capture_time"])
-        .withColumn("found", F.explode("offsets"))
+        .withColumn("found", F.explode_outer("offsets"))
         .select(
             "date", "profile_id", "region_name", F.col("capture_time").alias("z0_time"),
             F.col("found.off_bin").alias("off_bin"),
@@ -117,17 +120,19 @@ def _by_second(captures: DataFrame) -> DataFrame:
 def _by_elapsed_minute(captures: DataFrame) -> DataFrame:
     second_key = [*VISITOR_DAY, "capture_time"]
     traits = F.struct("member_tier", age_range(F.col("age"), unknown="").alias("age_range"), "gender")
-    rank = F.col("rn")
+    runner_up = F.lead(F.struct("region_name")).over(Window.partitionBy(*second_key).orderBy("capture_id"))
     timeline = (
         top_rows(captures, second_key, [F.col("capture_id")], n=2)
-        .groupBy(*second_key)
-        .agg(
-            F.min(F.when(rank == 1, F.col("capture_id"))).alias("first_id"),
-            F.min_by(F.struct("region_name"), "rn").alias("at"),
-            F.max_by(F.struct("region_name"), F.when(rank == 2, rank)).alias("runner_up"),
-            F.min_by(traits, "rn").alias("traits"),
+        .withColumn("runner_up", runner_up)
+        .where("rn = 1")
+        .select(
+            *second_key,
+            F.col("capture_id").alias("first_id"),
+            F.struct("region_name").alias("at"),
+            "runner_up",
+            traits.alias("traits"),
+            clock.second_of_day(F.col("capture_time")).alias("second"),
         )
-        .withColumn("second", clock.second_of_day(F.col("capture_time")))
     )
     w = Window.partitionBy(*VISITOR_DAY).orderBy("second")
     # Looking back, captures at the same whole-minute distance tie and the
@@ -159,7 +164,7 @@ def _by_elapsed_minute(captures: DataFrame) -> DataFrame:
     return (
         captures.select("date", "profile_id", "capture_id", "region_name", "capture_time")
         .join(found, ["profile_id", "capture_time"])
-        .withColumn("found", F.explode(F.concat(_found(own), others)))
+        .withColumn("found", F.explode_outer(F.concat(_found(own), others)))
         .select(
             "date",
             clock.hour_label(F.col("capture_time")).alias("date_hour"),

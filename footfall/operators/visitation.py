@@ -19,16 +19,17 @@ def hour_slices(detail: DataFrame) -> DataFrame:
         detail.withColumn("_end", end)
         .withColumn("hour_diff", clock.boundary_hours(start, F.col("_end")))
         .where("hour_diff >= 0")
+        .withColumn("_hour", clock.hour_floor(start))
         .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("hour_diff"))))
     )
-    hour = clock.hour_floor(start)
+    hour = F.col("_hour")
     return (
         sliced.withColumn("corrected_start", F.when(i == 0, start).otherwise(clock.shift_hours(hour, i)))
         .withColumn(
             "corrected_end",
             F.when(i == F.col("hour_diff"), F.col("_end")).otherwise(clock.shift_hours(hour, i + 1)),
         )
-        .drop("_slice", "_end")
+        .drop("_slice", "_end", "_hour")
     )
 
 
@@ -61,7 +62,7 @@ def hourly_visitation(
     )
     return joined.select(
         clock.hour_floor(F.col("corrected_start")).alias("date_hour"),
-        clock.hour_floor(clock.business_time(F.col("corrected_start"))).alias("date_casino_hour"),
+        clock.business_hour(F.col("corrected_start")).alias("date_casino_hour"),
         "profile_id", "region_type", "region_id", "region_name", "gender", "Age_range",
         "profile_type", "member_tier", "capture_time", "hour_diff", "corrected_start", "corrected_end",
         "group_id",

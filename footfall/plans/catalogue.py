@@ -28,7 +28,7 @@ from footfall.operators.visitation import hour_slices, hourly_visitation, hourly
 from footfall.plans.refresh import Settings, refresh
 from footfall.sources import csv_files, tables
 from footfall.sources.captures import captures_from_events, on_dates
-from footfall.sources.scratch import scratch_path
+from footfall.sources.scratch import scratch_path, stored
 from footfall.streaming import events as feed
 
 # The view has no camera 94, and visitors come minutes apart.
@@ -80,9 +80,13 @@ def q_group_sizes(spark, sf_dir):
     return group_sizes(q_arrival_groups(spark, sf_dir))
 
 
+def stored_detail(spark, sf_dir):
+    return stored(q_visit_detail(spark, sf_dir), "visit_detail")
+
+
 @query
 def q_stay_time(spark, sf_dir):
-    return stay_time(q_visit_detail(spark, sf_dir))
+    return stay_time(stored_detail(spark, sf_dir))
 
 
 @query
@@ -92,7 +96,7 @@ def q_stay_time_segments(spark, sf_dir):
 
 @query
 def q_new_or_return(spark, sf_dir):
-    return new_or_return(q_stay_time(spark, sf_dir))
+    return new_or_return(stored(q_stay_time(spark, sf_dir), "stay_time"))
 
 
 @query
@@ -104,15 +108,15 @@ def q_hour_slices(spark, sf_dir):
 
 @query
 def q_hourly_visitation(spark, sf_dir):
-    detail = q_visit_detail(spark, sf_dir)
-    stay = stay_time(detail)
+    detail = stored_detail(spark, sf_dir)
+    stay = stored(stay_time(detail), "stay_time")
     return hourly_visitation(detail, q_arrival_groups(spark, sf_dir), stay, new_or_return(stay))
 
 
 @query
 def q_demographics(spark, sf_dir):
-    detail = q_visit_detail(spark, sf_dir)
-    stay = stay_time(detail)
+    detail = stored_detail(spark, sf_dir)
+    stay = stored(stay_time(detail), "stay_time")
     return demographics(detail, stay, new_or_return(stay))
 
 
@@ -171,7 +175,7 @@ def q_calendar_functions(spark, sf_dir):
         day.alias("date"),
         clock.business_date(ts).alias("date_casino"),
         clock.hour_floor(ts).alias("date_hour"),
-        clock.hour_floor(clock.business_time(ts)).alias("date_casino_hour"),
+        clock.business_hour(ts).alias("date_casino_hour"),
         clock.hour_label(ts).alias("hour_label"),
         clock.hour_text(ts).alias("hour_text"),
         clock.second_floor(ts).alias("whole_second"),
@@ -183,7 +187,7 @@ def q_calendar_functions(spark, sf_dir):
 @query
 def q_time_differences(spark, sf_dir):
     base = clock.second_floor(F.col("ts"))
-    other = base + F.make_dt_interval(secs=F.col("event_id") * 37 % 7801 - 3900)
+    other = base + F.expr("INTERVAL '1' SECOND") * (F.col("event_id") * 37 % 7801 - 3900)
     pairs = table(spark, sf_dir, "events").select("event_id", base.alias("a"), other.alias("b"))
     a, b = F.col("a"), F.col("b")
     return pairs.select(
@@ -332,7 +336,7 @@ def q_deleted_rows(spark, sf_dir):
 def q_refresh(spark, sf_dir):
     """The daily refresh of all dates, twice; returns its demographics table."""
     database = _database(spark, "refresh")
-    rows = captures(spark, sf_dir)
+    rows = stored(captures(spark, sf_dir), "captures")
     days = [r[0] for r in rows.select(F.to_date("capture_time")).distinct().collect()]
     settings = Settings(camera_id=CAMERA, gap_s=GAP_S)
     for _ in range(2):

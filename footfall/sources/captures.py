@@ -79,7 +79,7 @@ def captures_from_events(events: DataFrame) -> DataFrame:
     into three dense days of captures.
     """
     start = F.lit("2024-01-01").cast("timestamp_ntz")
-    seconds = clock.flooring_div(clock.elapsed_seconds(start, F.col("ts")), 10)
+    seconds = clock.truncating_div(clock.elapsed_seconds(start, F.col("ts")), 10)
     user = F.col("user_id")
     region = F.lit(5)
     for number, kind in enumerate(["click", "error", "purchase", "signup"], start=1):
@@ -98,9 +98,9 @@ def captures_from_events(events: DataFrame) -> DataFrame:
         (1 + user % 4).cast("int").alias("profile_type"),
         tier.alias("member_tier"),
         (15 + (user * 7) % 60).cast("int").alias("age"),
-        (1 + clock.flooring_div(user, 4) % 2).cast("int").alias("gender"),
+        (1 + clock.truncating_div(user, 4) % 2).cast("int").alias("gender"),
         region.cast("long").alias("region_id"),
         F.concat(F.lit("Zone "), "event_type").alias("region_name"),
         (10 * region + 1 + F.col("event_id") % 5).cast("long").alias("camera_id"),
-        (start + F.make_dt_interval(secs=seconds)).alias("capture_time"),
+        (start + F.expr("INTERVAL '1' SECOND") * seconds).alias("capture_time"),
     )

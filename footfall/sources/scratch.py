@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="footfall-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For results that several later steps read: they are computed once, survive
+    the loss of executors, and are scanned with only the columns needed.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

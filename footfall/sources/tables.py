@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from footfall.sources.scratch import scratch_path
+from footfall.sources.scratch import stored
 
 DATE_PARTITION = "dt"
 LOAD_TIME = "batch_time"
@@ -88,7 +88,7 @@ def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
     columns, partitions = rows.columns, _partition_columns(spark, table)
     keep = rows.where(~F.coalesce(predicate, F.lit(False)))
     if not partitions:
-        kept = _materialise(keep, table)
+        kept = stored(keep, "kept")
         kept.select(columns).write.mode("overwrite").insertInto(table)
         return
     touched = rows.where(predicate).select(*partitions).distinct()
@@ -98,7 +98,7 @@ def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
         return
     same = [rows[p].eqNullSafe(F.col(f"_t_{p}")) for p in partitions]
     renamed = spark.createDataFrame(touched_values, touched.schema).toDF(*[f"_t_{p}" for p in partitions])
-    kept = _materialise(keep.join(renamed, same, "left_semi"), table)
+    kept = stored(keep.join(renamed, same, "left_semi"), "kept")
     with _overwrite_mode(spark, "dynamic"):
         kept.select(columns).hint("rebalance", *partitions).write.mode("overwrite").insertInto(table)
     left = {tuple(r) for r in kept.select(*partitions).distinct().collect()}
@@ -108,14 +108,13 @@ def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
 
 
 def _by_name(df: DataFrame, table: str) -> DataFrame:
-    target = df.sparkSession.table(table).columns
-    unknown = [c for c in df.columns if c not in target]
+    target = df.sparkSession.table(table).schema
+    unknown = [c for c in df.columns if c not in target.names]
     if unknown:
         raise ValueError(f"{table} has no columns {unknown}")
     have = set(df.columns)
-    types = df.sparkSession.table(table).schema
     return df.select(
-        *[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in types]
+        *[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in target]
     )
 
 
@@ -129,7 +128,12 @@ def _schema_of(spark: SparkSession, table: str, rows: Sequence[dict]) -> StructT
 
 
 def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    """From ``DESCRIBE``, which lists the partition columns in a section of their own."""
+    described = [r.col_name for r in spark.sql(f"DESCRIBE TABLE {table}").collect()]
+    if "# Partition Information" not in described:
+        return []
+    section = described[described.index("# Partition Information") + 1 :]
+    return [c for c in section if c and not c.startswith("#")]
 
 
 def _drop_stale(spark: SparkSession, table: str, wanted: list[date], stamp: Column) -> None:
@@ -160,12 +164,6 @@ def _sql_literal(value) -> str:
     return "'" + str(value).replace("'", "\\'") + "'"
 
 
-def _materialise(df: DataFrame, table: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, table.replace(".", "_").replace("`", ""))
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 @contextmanager
 def _overwrite_mode(spark: SparkSession, mode: str):
     key = "spark.sql.sources.partitionOverwriteMode"
