@@ -41,53 +41,59 @@ def refresh(
     dates: Iterable[date],
     database: str = "default",
     settings: Settings = Settings(),
+    only: Iterable[str] = TABLES,
 ) -> list[str]:
-    """Rebuild ``dates`` in the seven derived tables; other dates stay as they are.
+    """Rebuild ``dates`` in the derived tables; other dates stay as they are.
 
     All dates go through one plan per table. Each table is written and read back
-    before the next one uses it, which also cuts the lineage.
+    before the next one uses it, which also cuts the lineage. ``only`` picks the
+    tables to rebuild from what is stored.
     """
     days = sorted(set(dates))
     todays = on_dates(captures, "capture_time", days)
-
-    def write(name: str, rows: DataFrame, day) -> None:
-        overwrite_dates(rows, f"{database}.{name}", days, day)
+    if LOAD_TIME in todays.columns:
+        todays = todays.drop(LOAD_TIME)
 
     def read(name: str, when: Iterable[date] = days) -> DataFrame:
         stored = spark.table(f"{database}.{name}")
         return stored.where(F.col(DATE_PARTITION).isin(sorted(set(when)))).drop(DATE_PARTITION, LOAD_TIME)
 
-    write("visit_detail", visit_detail(todays.drop(LOAD_TIME)), F.to_date("capture_time"))
-    write(
-        "arrival_groups",
-        arrival_groups(todays, settings.camera_id, settings.gap_s),
-        F.to_date("date_hour"),
-    )
-    write("stay_time", stay_time(read("visit_detail")), F.col("date"))
-    write(
-        "new_or_return",
-        new_or_return(
-            read("stay_time"),
-            read("stay_time", _lookback_dates(spark, days, settings)),
-            settings.zone_lookback_months,
-            settings.day_lookback,
+    # Table: how to make its rows, and the date of a row.
+    jobs = {
+        "visit_detail": (lambda: visit_detail(todays), F.to_date("capture_time")),
+        "arrival_groups": (
+            lambda: arrival_groups(todays, settings.camera_id, settings.gap_s),
+            F.to_date("date_hour"),
+        ),
+        "stay_time": (lambda: stay_time(read("visit_detail")), F.col("date")),
+        "new_or_return": (
+            lambda: new_or_return(
+                read("stay_time"),
+                read("stay_time", _lookback_dates(spark, days, settings)),
+                settings.zone_lookback_months,
+                settings.day_lookback,
+            ),
+            F.col("date"),
+        ),
+        "hourly_visitation": (
+            lambda: hourly_visitation(
+                read("visit_detail"), read("arrival_groups"), read("stay_time"), read("new_or_return")
+            ),
+            F.to_date("date_hour"),
         ),
-        F.col("date"),
-    )
-    write(
-        "hourly_visitation",
-        hourly_visitation(
-            read("visit_detail"), read("arrival_groups"), read("stay_time"), read("new_or_return")
+        "demographics": (
+            lambda: demographics(read("visit_detail"), read("stay_time"), read("new_or_return")),
+            F.col("date"),
         ),
-        F.to_date("date_hour"),
-    )
-    write(
-        "demographics",
-        demographics(read("visit_detail"), read("stay_time"), read("new_or_return")),
-        F.col("date"),
-    )
-    write("path_heatmap", path_heatmap(todays, settings.heatmap_mode), F.col("date"))
-    return [f"{database}.{name}" for name in TABLES]
+        "path_heatmap": (lambda: path_heatmap(todays, settings.heatmap_mode), F.col("date")),
+    }
+    done = []
+    for name in TABLES:
+        if name in set(only):
+            rows, day = jobs[name]
+            overwrite_dates(rows(), f"{database}.{name}", days, day)
+            done.append(f"{database}.{name}")
+    return done
 
 
 def _lookback_dates(spark: SparkSession, days: list[date], settings: Settings) -> set[date]:

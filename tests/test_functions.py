@@ -1,0 +1,143 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from footfall.functions import buckets, clock
+
+T0 = datetime(2024, 3, 5, 12, 0, 0)
+
+# (seconds from base to other, boundary, elapsed, fractional); base at :30 of a minute.
+MIN = 60
+BIN_ROWS = [
+    (0, 0, 0, 0),
+    (20, 5, 5, 5),
+    (-20, 5, -5, -5),
+    (1 * MIN, 5, 5, 5), (4 * MIN, 5, 5, 5),
+    (5 * MIN, 10, 10, 10), (9 * MIN, 10, 10, 10),
+    (10 * MIN, 15, 15, 15), (14 * MIN, 15, 15, 15),
+    (15 * MIN, None, None, None), (15 * MIN + 20, None, None, None),
+    (16 * MIN, 30, 30, 30), (29 * MIN, 30, 30, 30),
+    (30 * MIN, 45, 45, 45), (44 * MIN, 45, 45, 45),
+    (45 * MIN, 60, 60, 60), (59 * MIN, 60, 60, 60), (60 * MIN, None, None, None),
+    (-1 * MIN, -5, -5, -5), (-4 * MIN, -5, -5, -5),
+    (-5 * MIN, -10, -5, -5),
+    (-6 * MIN, -10, -10, -10), (-9 * MIN, -10, -10, -10),
+    (-10 * MIN, -15, -10, -10),
+    (-11 * MIN, -15, -15, -15), (-14 * MIN, -15, -15, -15),
+    (-15 * MIN, None, -15, -15), (-15 * MIN - 20, None, -30, None),
+    (-16 * MIN, -30, -30, -30), (-29 * MIN, -30, -30, -30),
+    (-30 * MIN, -45, -30, -30),
+    (-31 * MIN, -45, -45, -45), (-44 * MIN, -45, -45, -45),
+    (-45 * MIN, -60, -45, -45),
+    (-46 * MIN, -60, -60, -60), (-59 * MIN, -60, -60, -60),
+    (-60 * MIN, None, -60, -60), (-61 * MIN, None, None, None),
+]
+
+
+def test_offset_bins_at_every_edge(spark):
+    base = T0 + timedelta(seconds=30)
+    rows = [(s, base, base + timedelta(seconds=s)) for s, *_ in BIN_ROWS]
+    df = spark.createDataFrame(rows, "s int, a timestamp_ntz, b timestamp_ntz")
+    bins = [
+        buckets.offset_bin(F.col("a"), F.col("b"), mode, same_row=F.col("s") == 0).alias(mode)
+        for mode in ("boundary", "elapsed", "fractional")
+    ]
+    assert [tuple(r) for r in df.select("s", *bins).collect()] == BIN_ROWS
+
+
+def test_another_capture_in_the_same_second(spark):
+    df = spark.createDataFrame([(T0, T0)], "a timestamp_ntz, b timestamp_ntz")
+    a, b = F.col("a"), F.col("b")
+    row = df.select(
+        buckets.offset_bin(a, b, "boundary").alias("x"),
+        buckets.offset_bin(a, b, "elapsed", same_row=F.lit(False)).alias("y"),
+        buckets.offset_bin(a, b, "fractional").alias("z"),
+    ).first()
+    assert tuple(row) == (0, 5, 0)
+
+
+def test_ranges_give_legal_bins_only():
+    for ranges in buckets.OFFSET_RANGES.values():
+        assert set(ranges) | {0} == set(buckets.OFFSET_BINS)
+
+
+def test_age_ranges(spark):
+    ages = [-1, 0, 20, 21, 39, 40, 65, 66, None]
+    df = spark.createDataFrame([(a,) for a in ages], "age int")
+    col = F.col("age")
+    got = df.select(buckets.age_range(col), buckets.age_range(col, "")).collect()
+    labels = [None, "0-20", "0-20", "21-39", "21-39", "40-65", "40-65", "65+", None]
+    assert [r[0] for r in got] == labels
+    assert [r[1] for r in got] == [label or "" for label in labels]
+
+
+def test_short_stay_and_group_sizes(spark):
+    df = spark.createDataFrame([(899,), (900,)], "s long")
+    assert [r[0] for r in df.select(buckets.is_short_stay(F.col("s"))).collect()] == [True, False]
+    sizes = spark.range(0, 8).select(buckets.group_size_label(F.col("id")))
+    assert [r[0] for r in sizes.collect()] == ["1", "1", "2", "3", "4", "5", "5+", "5+"]
+
+
+def test_division(spark):
+    df = spark.createDataFrame([(-7,), (7,), (-5,)], "a long")
+    got = df.select(clock.truncating_div(F.col("a"), 5), clock.flooring_div(F.col("a"), 5)).collect()
+    assert [tuple(r) for r in got] == [(-1, -2), (1, 1), (-1, -1)]
+
+
+times = st.datetimes(datetime(1970, 1, 1), datetime(2090, 1, 1)).map(lambda t: t.replace(microsecond=0))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(times, st.integers(-200_000, 200_000)), min_size=20, max_size=60))
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_clock_against_python(spark, zone, pairs):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = [(a, a + timedelta(seconds=s)) for a, s in pairs]
+        df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+        a, b = F.col("a"), F.col("b")
+        got = df.select(
+            "a", "b",
+            clock.elapsed_seconds(a, b), clock.boundary_minutes(a, b), clock.boundary_hours(a, b),
+            clock.elapsed_minutes(a, b), clock.fractional_minutes(a, b),
+            clock.hour_floor(a), clock.business_hour(a), clock.business_date(a), clock.second_of_day(a),
+            clock.minute_of_day(a), clock.hour_label(a), clock.hour_text(a),
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for r in got:
+        x, y = r[0], r[1]
+        secs = int((y - x).total_seconds())
+        minute = lambda t: t.replace(second=0)
+        hour = lambda t: t.replace(minute=0, second=0)
+        assert tuple(r)[2:] == (
+            secs,
+            int((minute(y) - minute(x)).total_seconds()) // 60,
+            int((hour(y) - hour(x)).total_seconds()) // 3600,
+            secs // 60,
+            secs / 60,
+            hour(x),
+            hour(x) - timedelta(hours=6),
+            (x - timedelta(hours=6)).date(),
+            x.hour * 3600 + x.minute * 60 + x.second,
+            x.hour * 60 + x.minute,
+            f"{x:%H}:00",
+            f"{x:%Y-%m-%d %H}:00:00",
+        )
+
+
+def test_fractions_and_month_ends(spark):
+    df = spark.createDataFrame([(datetime(2024, 4, 30, 5, 59, 59, 999999),)], "t timestamp_ntz")
+    t = F.col("t")
+    row = df.select(
+        clock.second_floor(t), clock.hour_floor(t), clock.business_date(t),
+        clock.months_before(F.to_date(t), 2), clock.days_before(F.to_date(t), 1),
+    ).first()
+    assert tuple(row) == (
+        datetime(2024, 4, 30, 5, 59, 59), datetime(2024, 4, 30, 5), date(2024, 4, 29),
+        date(2024, 2, 29), date(2024, 4, 29),
+    )
