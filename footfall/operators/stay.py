@@ -71,31 +71,24 @@ def stay_time_segments(captures: DataFrame) -> DataFrame:
         .withColumn("Age_range", age_range(F.col("age")))
         .withColumn("region_type", F.lit(""))
     )
-    # One row per second and region, then runs of a region, then stays.
-    per_second = seen.groupBy(*day, "capture_time", "region_id").agg(
-        *[_first_known(a, F.col("capture_id")) for a in attributes]
-    )
+    # The stays need nothing but times and regions, at most one row per second and region.
     w = Window.partitionBy(*day).orderBy("capture_time", "region_id")
-    changed = ~F.col("region_id").eqNullSafe(F.lag("region_id").over(w))
-    segments = (
-        per_second.withColumn("_new", changed.cast("int"))
-        .withColumn("_segment", F.sum("_new").over(w))
-        .groupBy(*day, "region_id", "_segment")
-        .agg(
-            F.min("capture_time").alias("_start"),
-            *[_first_known(a, F.col("capture_time")) for a in attributes],
-        )
+    starts = (
+        seen.select(*day, "capture_time", "region_id")
+        .distinct()
+        .withColumn("_before", F.lag("region_id").over(w))
+        .where("_before is null or _before <> region_id")
     )
-    next_start = F.lead("_start").over(Window.partitionBy(*day).orderBy("_segment"))
+    stay = clock.elapsed_seconds(F.col("capture_time"), F.col("_next"))
     longest = (
-        segments.withColumn("_next", next_start)
+        starts.withColumn("_next", F.lead("capture_time").over(w))
         .groupBy(*day, "region_id")
-        .agg(
-            F.max(clock.elapsed_seconds(F.col("_start"), F.col("_next")).cast("double")).alias("stay_time"),
-            *[_first_known(a, F.col("_segment")) for a in attributes],
-        )
+        .agg(F.max(stay.cast("double")).alias("stay_time"))
     )
-    return fill_with_group_mean(longest, ["date", "date_casino", "region_id"], "stay_time").select(
+    first_seen = F.struct("capture_time", "capture_id")
+    known = seen.groupBy(*day, "region_id").agg(*[_first_known(a, first_seen) for a in attributes])
+    filled = fill_with_group_mean(longest, ["date", "date_casino", "region_id"], "stay_time")
+    return filled.join(known, [*day, "region_id"]).select(
         "profile_id", "date", "date_casino", "region_id", "stay_time", *attributes
     )
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+BAD_ROW = "_corrupt_record"
+
+
 def clean_name(name: str) -> str:
     return re.sub(r"[ .\-]", "_", name)
 
@@ -28,6 +31,8 @@ def read_csv(
     stringify_floats: bool = False,
     sampling_ratio: float = 1.0,
     schema: T.StructType | None = None,
+    keep_bad_rows: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read a CSV file, or a folder of parts, with a header row.
 
@@ -35,15 +40,27 @@ def read_csv(
     (over the raw header names) is given, and then mapped: whole numbers to long, booleans to
     0 / 1, dates and times kept, fractions to double (or text), everything else
     to text. Missing text becomes an empty string, missing numbers stay null.
+
+    A row that does not fit fails the read; with ``keep_bad_rows`` it is kept, with
+    what could be read of it, and its text is in ``_corrupt_record``. Files with line
+    breaks inside quotes need ``multi_line``, which reads each file in one task.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
     if schema is None:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
+        inferring = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
+        schema = inferring.csv(path).schema
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    if keep_bad_rows:
+        schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
     else:
-        reader = reader.schema(schema)
-    raw = clean_names(reader.csv(path))
+        reader = reader.option("mode", "FAILFAST")
+    raw = clean_names(reader.schema(schema).csv(path))
     return raw.select(
-        *[_mapped(f, stringify_floats).alias(f.name) for f in raw.schema.fields]
+        *[
+            F.col(f.name) if f.name == BAD_ROW else _mapped(f, stringify_floats).alias(f.name)
+            for f in raw.schema.fields
+        ]
     )
 
 
@@ -86,18 +103,17 @@ def load_csv_folder(
     spark: SparkSession,
     folder: str,
     database: str = "default",
-    stringify_floats: bool = False,
-    sampling_ratio: float = 1.0,
+    **options,
 ) -> list[str]:
     """Append every CSV file of a folder to the table named after it.
 
-    Returns the table names. Each load is one distributed read and write; a row
-    that cannot be read fails the load and is not skipped.
+    Returns the table names. Each load is one distributed read and write;
+    ``options`` are those of ``read_csv``. No row is skipped.
     """
     loaded = []
     for entry in list_csv(spark, folder):
         table = f"{database}.{table_name(entry)}"
-        rows = read_csv(spark, f"{folder.rstrip('/')}/{entry}", stringify_floats, sampling_ratio)
+        rows = read_csv(spark, f"{folder.rstrip('/')}/{entry}", **options)
         rows.write.mode("append").saveAsTable(table)
         loaded.append(table)
     return loaded

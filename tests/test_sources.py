@@ -160,3 +160,18 @@ def test_clashing_names_are_refused(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a b,a-b\n1,2\n")
     with pytest.raises(ValueError, match="a_b"):
         csv_files.read_csv(spark, str(tmp_path / "x.csv"))
+
+
+def test_bad_rows_fail_or_are_kept(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n3,4,5\n")
+    path = str(tmp_path / "x.csv")
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
+        csv_files.read_csv(spark, path).collect()
+    kept = csv_files.read_csv(spark, path, keep_bad_rows=True)
+    assert sorted(r._corrupt_record or "" for r in kept.collect()) == ["", "3,4,5"]
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n')
+    rows = csv_files.read_csv(spark, str(tmp_path / "x.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [(1, "two\nlines")]
