@@ -137,9 +137,11 @@ def _by_elapsed_minute(captures: DataFrame) -> DataFrame:
     w = Window.partitionBy(*VISITOR_DAY).orderBy("second")
     # Looking back, captures at the same whole-minute distance tie and the
     # earliest wins. That minute starts at most 59 s before the last capture in
-    # the bin, so every entry carries the captures of its preceding minute.
-    recent = F.collect_list(F.struct("second", "at")).over(w.rangeBetween(-59, 0))
-    timeline = timeline.withColumn("recent", recent).withColumn("here", F.struct("second", "recent"))
+    # the bin, so every entry carries the captures of the 59 s before it, if any.
+    recent = F.collect_list(F.struct("second", "at")).over(w.rangeBetween(-59, -1))
+    timeline = timeline.withColumn("recent", recent).withColumn(
+        "here", F.struct("second", "at", F.when(F.size("recent") > 0, F.col("recent")).alias("recent"))
+    )
     frames = {b: (60 * low, 60 * high + 59) for b, (low, high) in OFFSET_RANGES["elapsed"].items()}
     frames[5] = (1, frames[5][1])
     later = _nearest("at", {b: f for b, f in frames.items() if b > 0}, w)
@@ -191,9 +193,8 @@ def _nearest(entry: str, frames: dict[int, tuple[int, int]], w: WindowSpec) -> d
 def _first_of_minute(last: Column, second: Column) -> Column:
     """Earliest entry in the whole minute, counted back from ``second``, of ``last``."""
     minute_start = second + 60 * clock.flooring_div(last["second"] - second, 60)
-    return F.when(
-        last.isNotNull(), F.get(F.filter(last["recent"], lambda e: e["second"] >= minute_start), F.lit(0))["at"]
-    )
+    earlier = F.get(F.filter(last["recent"], lambda e: e["second"] >= minute_start), F.lit(0))
+    return F.coalesce(earlier["at"], last["at"])
 
 
 def _found(at: dict[int, Column]) -> Column:

@@ -7,6 +7,7 @@ and streams are run on files and tables that Spark writes from the given ones.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,8 +164,7 @@ def q_daily_user_stats(spark, sf_dir):
 
 @query
 def q_scan_one_date(spark, sf_dir):
-    day = spark.sql("SELECT DATE '2024-01-17'").first()[0]
-    return on_dates(table(spark, sf_dir, "events"), "ts", [day]).select("event_id", "ts", "user_id", "event_type")
+    return on_dates(table(spark, sf_dir, "events"), "ts", [date(2024, 1, 17)]).select("event_id", "ts", "user_id", "event_type")
 
 
 @query
@@ -251,7 +251,7 @@ def q_shipping_bursts(spark, sf_dir):
 
 @query
 def q_nearest_price(spark, sf_dir):
-    """Region of an argMin: the supplier closest to a part's list price."""
+    """The supplier whose price is closest to a part's list price, with a rule for ties."""
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("p_partkey"), "l_suppkey", "l_orderkey", "l_linenumber",
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
