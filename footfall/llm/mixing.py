@@ -63,7 +63,7 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     left = F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum(full).over(before), F.lit(0))
     # Level if all sources before this one are full and it and the later ones are not.
     sources = sources.withColumn("level", left / F.sum("weight").over(after))
-    level = F.min(F.when(F.col("level") <= F.col("full_at"), F.col("level"))).over(Window.partitionBy())
+    level = F.max(F.when(F.col("level") <= F.col("full_at"), F.col("level"))).over(Window.partitionBy())
     target = F.least(full.cast("double"), F.coalesce(level, F.lit(float("inf"))) * F.col("weight"))
     return sources.select("source", "n_docs", "source_size", target.cast("double").alias("target"))
 

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most labelled texts per class that are learned from, and the longest of them in characters.
-SAMPLE = 1500
+SAMPLE = 1000
 LONGEST = 8000
 #: Bytes of each dictionary, and the compression level.
 DICTIONARY = 256 << 10
 LEVEL = 3
 #: Folds of the sample for the calibration.
-FOLDS = 5
+FOLDS = 3
 
 
 @dataclass(frozen=True)
