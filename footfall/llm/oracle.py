@@ -47,3 +47,20 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(4 + long_role + 2 + long_text + 8) AS BIGINT) AS formatted_chars
 FROM sizes GROUP BY conv_id
 """
+
+ORACLE["op9_vector_dedup"] = """
+WITH RECURSIVE fit AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit AS a JOIN fit AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.98),
+reach AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings
+  UNION SELECT r.id, l.b FROM reach AS r JOIN links AS l ON l.a = r.other),
+named AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings AS e JOIN named ON named.id = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, langid, mixing, quality
+from footfall.llm import chat, decontaminate, langid, mixing, nearcopies, pages, paragraphs, quality, repeats, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,29 @@ def op6_chat_format(spark, sf_dir):
 def op10_mixing(spark, sf_dir):
     found = mixing.mix(mixing.sized(table(spark, sf_dir, "documents")))
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op2_paragraph_dedup(spark, sf_dir):
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    return repeats.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_near_dedup(spark, sf_dir):
+    return nearcopies.near_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_main_text(spark, sf_dir):
+    found = pages.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op9_vector_dedup(spark, sf_dir):
+    return vectors.vector_links(table(spark, sf_dir, "embeddings"))

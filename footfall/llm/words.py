@@ -32,7 +32,7 @@ def _power_table(inverse: bool, n: int) -> np.ndarray:
     have = _powers[inverse]
     step = _INVERSE if inverse else _BASE
     while len(have) < n:
-        top = have[-1] * step
+        top = have[-1:] * step
         have = np.concatenate([have, have * top])
     _powers[inverse] = have
     return have[:n]
@@ -40,7 +40,7 @@ def _power_table(inverse: bool, n: int) -> np.ndarray:
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A fixed scrambling of 64-bit values (the finaliser of splitmix64)."""
-    x = x + _U((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
+    x = x + _U((int(seed) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
