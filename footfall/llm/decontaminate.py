@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.sources.scratch import stored
+
 WINDOW = 10
 #: Bytes of windows in one automaton; it takes roughly eighty times as much memory.
 LIMIT = 2 << 20
@@ -151,22 +153,40 @@ def _one(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"key bigint, words {_SPAN}, spans {_SPAN}, items array<string>")
 
 
+def _parts(benchmark: DataFrame, size: int, limit: int) -> list[list]:
+    """Windows for each automaton; one list unless they are more than ``limit`` bytes."""
+    found = stored(windows(benchmark, size), "benchmark-windows")
+    total = found.agg(F.sum(F.length("window"))).first()[0] or 0
+    parts = max(1, -(-total // limit))
+    split = F.pmod(F.xxhash64("window"), F.lit(parts))
+    return [[tuple(r) for r in found.where(split == p).collect()] for p in range(parts)]
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, limit: int = LIMIT) -> DataFrame:
+    """``docs`` with all columns, without those that have a window of the benchmark."""
+
+    def without(patterns):
+        def run(batches):
+            machine = _automaton(patterns) if patterns else None
+            for batch in batches:
+                raw = batch.column("text").cast(pa.binary()).to_pylist()
+                yield batch.filter(pa.array([not _find(machine, _split(x))[0] for x in raw], pa.bool_()))
+
+        return run
+
+    for patterns in _parts(benchmark, size, limit):
+        docs = docs.mapInArrow(without(patterns), docs.schema)
+    return docs
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int = WINDOW, limit: int = LIMIT) -> DataFrame:
     """Columns ``keep`` of ``docs`` with the hits of each document.
 
     ``n_words``; ``words`` and ``spans``, the runs of hit words by word number
     and by code point, ends excluded; ``items``, the ids found, sorted.
     """
-    found = windows(benchmark, size).persist()
-    try:
-        total = found.agg(F.sum(F.length("window"))).first()[0] or 0
-        parts = max(1, -(-total // limit))
-        patterns = [
-            [tuple(r) for r in found.where(F.pmod(F.xxhash64("window"), F.lit(parts)) == p).collect()] for p in range(parts)
-        ]
-    finally:
-        found.unpersist()
-    if parts == 1:
+    patterns = _parts(benchmark, size, limit)
+    if len(patterns) == 1:
         return _scan(docs, patterns[0], keep)
     # A text and its hits go together, so a hash of the text finds them again.
     keyed = docs.select(*dict.fromkeys([*keep, "text"])).withColumn("key", F.xxhash64("text"))

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,3 +165,20 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     read = docs.select(*dict.fromkeys([*keep, "text"]))
     return read.mapInArrow(run, f"{fields}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` with all columns, without the texts that are ``und``; a null ``lang`` becomes the prediction."""
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            found, _ = classify(model, batch.column("text"))
+            known = pa.array([x != UNKNOWN for x in found], pa.bool_())
+            columns = [
+                pc.coalesce(batch.column(n), pa.array(found, batch.schema.field(n).type)) if n == "lang" else batch.column(n)
+                for n in names
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(known)
+
+    return docs.mapInArrow(run, docs.schema)

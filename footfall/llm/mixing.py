@@ -150,3 +150,25 @@ def mix(rows: DataFrame, bucket: int = BUCKET, fan_in: int = FAN_IN) -> DataFram
         "doc_id", "source", "text_key", "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns of ``mix``, as far as they are taken at least once.
+
+    Rows that agree in id, source and text become one, taken as often as all of
+    them. A column of ``docs`` named like one of the mixture gives way to it.
+    """
+    key = ("doc_id", "source", "text_key")
+    first = [F.first(c).alias(c) for c in ("size", "source_size", "target")]
+    found = mix(sized(docs)).groupBy(*key).agg(
+        *first, F.sum("copies").alias("copies"), F.sum("taken").alias("taken"), F.count("*").alias("rows")
+    )
+    made = ("size", "source_size", "target", "copies", "taken")
+    part = found.where("copies > 0").select(*(F.col(c).alias(f"__{c}") for c in (*key, *made, "rows")))
+    own = [c for c in docs.columns if c.lower() not in made]
+    rows = docs.select(own).withColumn("__text", F.xxhash64("text"))
+    same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), F.col("source").eqNullSafe(F.col("__source"))]
+    joined = rows.join(part, same[0] & same[1] & (F.col("__text") == F.col("__text_key")))
+    again = joined.where("__rows > 1").dropDuplicates(["doc_id", "source", "__text"])
+    out = joined.where("__rows = 1").unionByName(again)
+    return out.select(*own, *(F.col(f"__{c}").alias(c) for c in made))

@@ -216,3 +216,16 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), F.lit(0).cast("bigint").alias("n_links"), "n_words"
     )
     return out.unionByName(empty)
+
+
+def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with all columns, one document of each class; rows with a null id stay.
+
+    Rows that repeat an id are reduced to those with different texts.
+    """
+    found = stored(near_classes(docs, similarity), "classes")
+    chosen = found.where("kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.count("*").alias("__rows"))
+    rows = docs.join(chosen, F.col("doc_id") == F.col("__doc"))
+    once = rows.where("__rows = 1").select(docs.columns)
+    again = rows.where("__rows > 1").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again).unionByName(docs.where("doc_id IS NULL"))

@@ -154,18 +154,23 @@ def _finish(rows, words: Words, ids: list, spans: list, names: list[str], cut: b
             )
         kind = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()), ("first_doc", rows.column("doc_id").type), ("removed", pa.bool_())])
         return pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(made, pa.list_(kind))], ["doc_id", "spans"])
-    texts = rows.column("text").to_pylist()
+    texts, whole = rows.column("text").to_pylist(), np.ones(len(ids), bool)
+    sizes = rows.column("n_chars").to_pylist() if "n_chars" in names else []
     for i, own in enumerate(merged):
-        base, kept, at = words.bounds[i], [], words.bounds[i]
+        kept, at = [], words.bounds[i]
         for a, b, _, removed in own:
             if removed:
                 kept.append(words.data[at : words.start[a]].tobytes())
                 at = words.end[b - 1]
-        if at > base:
+        if kept:
             kept.append(words.data[at : words.bounds[i + 1]].tobytes())
             texts[i] = b"".join(kept).decode()
-    out = [pa.array(texts, rows.schema.field("text").type) if n == "text" else rows.column(n) for n in names]
-    return pa.RecordBatch.from_arrays(out, names)
+            whole[i] = any(texts[i].split())
+            if sizes:
+                sizes[i] = len(texts[i])
+    made = {"text": texts} | ({"n_chars": sizes} if sizes else {})
+    out = [pa.array(made[n], rows.schema.field(n).type) if n in made else rows.column(n) for n in names]
+    return pa.RecordBatch.from_arrays(out, names).filter(pa.array(whole))
 
 
 def _merged(spans: list[tuple], doc) -> list[tuple]:
@@ -242,7 +247,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
 def cut(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """``docs`` with all columns, without the passages that an earlier document has.
 
-    Texts without such passages stay as they are, to the byte.
+    Texts without such passages stay as they are, to the byte. Of a text that is
+    cut ``n_chars``, if there is one, becomes the new length; a document that is
+    left without a word goes.
     """
     flagged = stored(flagged_reaches(docs, length, seed), "flagged")
     tag = flagged.select(F.col("doc_id").alias("__doc"), F.col("flagged").alias("__flagged"))
