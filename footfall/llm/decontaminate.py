@@ -139,16 +139,26 @@ def _scan(docs: DataFrame, patterns: list, keep: list[str]) -> DataFrame:
 
 
 def _one(rows: DataFrame) -> DataFrame:
-    """Merge overlapping runs that several automata found."""
+    """Merge overlapping runs that several automata found, with the characters they cover."""
 
     def run(batches):
         for batch in batches:
-            made = []
-            for c in ("words", "spans"):
-                merged = [_spans(_merge([(s["low"], s["high"]) for s in x])) for x in batch.column(c).to_pylist()]
-                made.append(pa.array(merged, batch.schema.field(c).type))
-            rest = [batch.column(c) for c in ("key", "items")]
-            yield pa.RecordBatch.from_arrays([rest[0], *made, rest[1]], ["key", "words", "spans", "items"])
+            words, spans = [], []
+            for pairs in batch.column("pairs").to_pylist():
+                w, s = [], []
+                for pair in sorted(pairs, key=lambda p: (p["words"]["low"], p["words"]["high"])):
+                    (low, high), chars = pair["words"].values(), pair["spans"]
+                    if w and low <= w[-1]["high"]:
+                        if high > w[-1]["high"]:
+                            w[-1]["high"], s[-1]["high"] = high, chars["high"]
+                    else:
+                        w.append(pair["words"])
+                        s.append(chars)
+                words.append(w)
+                spans.append(s)
+            kind = pa.list_(pa.struct([("low", pa.int32()), ("high", pa.int32())]))
+            columns = [batch.column("key"), pa.array(words, kind), pa.array(spans, kind), batch.column("items")]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "words", "spans", "items"])
 
     return rows.mapInArrow(run, f"key bigint, words {_SPAN}, spans {_SPAN}, items array<string>")
 
@@ -195,11 +205,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], size: int = WIN
     for part in patterns[1:]:
         hits = hits.unionByName(_scan(texts, part, ["key"]).where(F.size("words") > 0))
     merged = hits.groupBy("key").agg(
-        *(F.flatten(F.collect_set(c)).alias(c) for c in ("words", "spans")),
+        F.flatten(F.collect_set(F.arrays_zip("words", "spans"))).alias("pairs"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     base = _scan(keyed, [], [*keep, "key"]).drop("words", "spans", "items")
-    out = base.join(_one(merged.select("key", "words", "spans", "items")), "key", "left")
+    out = base.join(_one(merged.select("key", "pairs", "items")), "key", "left")
     empty = {"words": _SPAN, "spans": _SPAN, "items": "array<string>"}
     return out.select(*keep, "n_words", *(F.coalesce(c, F.array().cast(t)).alias(c) for c, t in empty.items()))
 

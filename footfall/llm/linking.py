@@ -3,9 +3,10 @@
 All pairs of a bucket would be quadratic in a group of copies. Instead every
 member is compared with two pivots of its bucket, which differ from bucket to
 bucket. In a bucket of up to three members that is every pair. Members that
-match neither pivot go on: they have to share one more bucket with each other,
-which splits chance meetings, and get new pivots, until none is left. No member
-is dropped and no bucket is capped.
+match neither pivot go on. Few of them in a bucket are compared with each other;
+of more, each has to share one more bucket with the others, which splits chance
+meetings, and they get new pivots, four times as many each round, until none is
+left. No member is dropped and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from footfall.sources.scratch import stored
 
+#: Left-over members of a bucket up to which all pairs are compared.
+FEW = 32
 #: Rounds in which left-over members have to share one more bucket.
-REFINED = 3
+REFINED = 2
 
 
 def pivot_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -31,23 +34,26 @@ def pivot_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     members = stored(members.select("bucket", "id").distinct(), "members")
     here, links, checked, turn = members, None, None, 0
     while True:
+        sized = here.join(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
+        few = F.lit(turn > 0) & (F.col("n") <= FEW)
         # XOR with the bucket orders ids differently in each bucket, and can be undone.
         mark = F.col("id").bitwiseXOR(F.col("bucket"))
-        ends = here.groupBy("bucket").agg(F.count("*").alias("n"), F.min(mark).alias("low"), F.max(mark).alias("high")).where("n > 1")
-        star = here.join(ends, "bucket").select(
-            "bucket", "id",
-            F.explode(F.array_distinct(F.array(*(F.col(c).bitwiseXOR(F.col("bucket")) for c in ("low", "high"))))).alias("pivot"),
-        )
-        star = star.select("bucket", "id", "pivot", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
-        star = stored(star, "stars")
+        many = sized.where(~few).select("bucket", "id", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(4**turn)).alias("salt"))
+        ends = many.groupBy("bucket", "salt").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+        ends = ends.select("bucket", F.explode(F.array("low", "high")).alias("end")).distinct()
+        star = many.join(ends, "bucket").select("bucket", "id", F.col("end").bitwiseXOR(F.col("bucket")).alias("pivot"))
+        if turn:
+            rest = sized.where(few).select("bucket", "id")
+            star = star.unionByName(rest.join(rest.withColumnRenamed("id", "pivot"), "bucket"))
+        star = stored(star.select("bucket", "id", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")), "stars")
         pairs = star.where("a <> b").select("a", "b").distinct()
         if checked is not None:
-            pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(verify(pairs), "links")
         links = found if links is None else links.unionByName(found)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        # A pivot is settled with itself.
+        # A pivot is settled with itself, and so is each of few members.
         hit = star.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left")
         settled = F.max(F.when(F.col("a") == F.col("b"), 1).otherwise(F.coalesce("hit", F.lit(0))))
         here = hit.groupBy("bucket", "id").agg(settled.alias("hit")).where("hit = 0").select("bucket", "id")

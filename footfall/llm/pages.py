@@ -40,6 +40,7 @@ RUN = 12
 SILENT = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head", "title", "textarea", "select", "canvas", "audio", "video"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template"}
 FRAME = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "fieldset"} | SILENT
+UNSEEN = {"script", "style", "noscript", "template"}
 MAIN = {"article", "main"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
@@ -116,7 +117,7 @@ def blocks(page: str) -> list[tuple[str, str]]:
             close(name)
             continue
         frame = _is_frame(name, rest)
-        if name not in INLINE or frame:
+        if (name not in INLINE or frame) and name not in UNSEEN:
             flush()
         if name in VOID or rest.endswith("/") and name not in MAIN:
             continue
