@@ -6,9 +6,12 @@ capture of the same visitor and day that falls into the bin.
 The obvious plan joins a visitor's day with itself and keeps the nearest pair
 per bin, which is quadratic in the captures of a visitor. Here no pairs are
 built. Captures are first reduced to one entry per second, or per minute where
-the bins count minutes. On that timeline, at most 86,400 entries long, each bin
-is a range frame around the current entry, and the nearest capture is the first
-entry of a later frame or the last entry of an earlier one.
+the bins count minutes. By minute, at most 1,440 entries long, a bin is a range
+frame around the current entry. By second a bin is an as-of lookup: the last
+entry up to its near edge, from either side, tested against its far edge. Such
+a frame only grows, so the work is in proportion to the entries. A visitor's day
+is cut into blocks of two hours, each with an hour of neighbours on both sides,
+so no task holds a crowded day.
 
 The arrays exploded here are never empty. ``explode_outer`` is used as ``explode``
 makes Spark add a filter on their size, which computes each array twice.
@@ -25,6 +28,9 @@ from footfall.functions.buckets import OFFSET_RANGES, age_range
 from footfall.operators.ordered import top_rows
 
 VISITOR_DAY = ["date", "profile_id"]
+# Seconds that a bin reaches at most, and seconds in a block of a visitor's day.
+REACH = 3600
+BLOCK = 2 * REACH
 
 
 def path_heatmap(captures: DataFrame, mode: str = "boundary") -> DataFrame:
@@ -100,10 +106,9 @@ def _by_second(captures: DataFrame) -> DataFrame:
         .withColumn("second", clock.second_of_day(F.col("capture_time")))
         .select(*VISITOR_DAY, "capture_time", "second", "at")
     )
-    w = Window.partitionBy(*VISITOR_DAY).orderBy("second")
-    nearest = _nearest("at", OFFSET_RANGES["fractional"], w)
-    named = timeline.withColumns({_name(b): at for b, at in nearest.items()})
-    at = {0: F.col("at"), **{b: F.col(_name(b)) for b in nearest}}
+    frames = OFFSET_RANGES["fractional"]
+    named = _looked_up(timeline, frames).where("own")
+    at = {0: F.col("at"), **{b: F.col(_name(b))["at"] for b in frames}}
     found = named.select("profile_id", "capture_time", _found(at).alias("offsets"))
     return (
         captures.select("date", "profile_id", "region_name", "capture_time")
@@ -120,45 +125,30 @@ def _by_second(captures: DataFrame) -> DataFrame:
 def _by_elapsed_minute(captures: DataFrame) -> DataFrame:
     second_key = [*VISITOR_DAY, "capture_time"]
     traits = F.struct("member_tier", age_range(F.col("age"), unknown="").alias("age_range"), "gender")
+    first_two = top_rows(captures, second_key, [F.col("capture_id")], n=2)
     runner_up = F.lead(F.struct("region_name")).over(Window.partitionBy(*second_key).orderBy("capture_id"))
     timeline = (
-        top_rows(captures, second_key, [F.col("capture_id")], n=2)
-        .withColumn("runner_up", runner_up)
+        first_two.withColumn("runner_up", runner_up)
         .where("rn = 1")
         .select(
             *second_key,
             F.col("capture_id").alias("first_id"),
             F.struct("region_name").alias("at"),
             "runner_up",
-            traits.alias("traits"),
             clock.second_of_day(F.col("capture_time")).alias("second"),
         )
     )
-    w = Window.partitionBy(*VISITOR_DAY).orderBy("second")
-    # Looking back, captures at the same whole-minute distance tie and the
-    # earliest wins. That minute starts at most 59 s before the last capture in
-    # the bin, so every entry carries the captures of the 59 s before it, if any.
-    recent = F.collect_list(F.struct("second", "at")).over(w.rangeBetween(-59, -1))
-    timeline = timeline.withColumn("recent", recent).withColumn(
-        "here", F.struct("second", "at", F.when(F.size("recent") > 0, F.col("recent")).alias("recent"))
-    )
     frames = {b: (60 * low, 60 * high + 59) for b, (low, high) in OFFSET_RANGES["elapsed"].items()}
     frames[5] = (1, frames[5][1])
-    later = _nearest("at", {b: f for b, f in frames.items() if b > 0}, w)
-    earlier = _nearest("here", {b: f for b, f in frames.items() if b < 0}, w)
-    named = timeline.withColumns(
-        {
-            **{_name(b): at for b, at in {**later, **earlier}.items()},
-            "traits": F.first("traits").over(w),
-        }
-    )
-    at = {b: F.col(_name(b)) for b in later}
-    at.update({b: _first_of_minute(F.col(_name(b)), F.col("second")) for b in earlier})
+    named = _earliest_of_minute(_looked_up(timeline, frames), [b for b in frames if b < 0])
+    at = {b: F.col(_name(b))["at"] for b in frames}
     found = named.select(
-        "profile_id", "capture_time", "first_id", "traits", "runner_up",
+        "profile_id", "capture_time", "first_id", "runner_up",
         F.col("at").alias("first_at"), _found(at).alias("offsets"),
-        F.col(_name(5)).alias("next_at"),
+        at[5].alias("next_at"),
     )
+    # Attributes are those of the first capture of the day.
+    seen = captures.groupBy(*VISITOR_DAY).agg(F.min_by(traits, F.struct("capture_time", "capture_id")).alias("traits"))
     # Bin 0 is the base itself; bin 5 may be another capture of its second.
     same_second = F.when(F.col("capture_id") != F.col("first_id"), F.col("first_at")).otherwise(F.col("runner_up"))
     own = {0: F.struct("region_name"), 5: F.coalesce(same_second, F.col("next_at"))}
@@ -166,6 +156,7 @@ def _by_elapsed_minute(captures: DataFrame) -> DataFrame:
     return (
         captures.select("date", "profile_id", "capture_id", "region_name", "capture_time")
         .join(found, ["profile_id", "capture_time"])
+        .join(seen, VISITOR_DAY)
         .withColumn("found", F.explode_outer(F.concat(_found(own), others)))
         .select(
             "date",
@@ -178,6 +169,62 @@ def _by_elapsed_minute(captures: DataFrame) -> DataFrame:
     )
 
 
+def _looked_up(timeline: DataFrame, frames: dict[int, tuple[int, int]]) -> DataFrame:
+    """The timeline in blocks, with the nearest entry in each frame of seconds.
+
+    An entry is in its own block (``own``) and as a neighbour in the closer one
+    of the blocks around. Columns ``bin_..`` are structs of ``second``, ``at`` and
+    ``before``, the second of the entry before that one.
+    """
+    block = clock.truncating_div(F.col("second"), BLOCK)
+    aside = F.when(F.col("second") % BLOCK >= REACH, block + 1).otherwise(block - 1)
+    copies = F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), F.struct(aside.alias("block"), F.lit(False).alias("own")))
+    placed = timeline.withColumn("_copy", F.explode_outer(copies)).select("*", "_copy.*").drop("_copy")
+    part = Window.partitionBy(*VISITOR_DAY, "block")
+    onward, back = part.orderBy("second"), part.orderBy(F.col("second").desc())
+    placed = placed.withColumn("here", F.struct("second", "at", F.lag("second").over(onward).alias("before")))
+
+    def nearest(low: int, high: int) -> Column:
+        # In descending order "up to" an offset means at least that many seconds later.
+        if low > 0:
+            entry = F.last("here").over(back.rangeBetween(Window.unboundedPreceding, -low))
+            return F.when(entry["second"] <= F.col("second") + high, entry)
+        entry = F.last("here").over(onward.rangeBetween(Window.unboundedPreceding, high))
+        return F.when(entry["second"] >= F.col("second") + low, entry)
+
+    return placed.withColumns({_name(b): nearest(low, high) for b, (low, high) in frames.items()})
+
+
+def _earliest_of_minute(named: DataFrame, bins: list[int]) -> DataFrame:
+    """Own entries, with the earliest entry of the whole minute in place of the nearest one.
+
+    Looking back, captures at the same whole-minute distance tie and the
+    earliest wins. Where the minute may hold an earlier entry, its start becomes
+    a probe in the timeline, and finds the next entry from there on.
+    """
+    probes = []
+    for b in bins:
+        found = F.col(_name(b))
+        start = F.col("second") + 60 * clock.flooring_div(found["second"] - F.col("second"), 60)
+        probe = F.struct(start.alias("position"), F.lit(b).alias("bin"))
+        probes.append(F.when(F.col("own") & (found["before"] >= start), probe))
+    # Entries come before probes of their second: position descending, then bin null first.
+    entry = F.struct(F.col("second").alias("position"), F.lit(None).cast("int").alias("bin"))
+    rows = named.withColumn("_row", F.explode_outer(F.filter(F.array(entry, *probes), lambda p: p.isNotNull())))
+    order = Window.partitionBy(*VISITOR_DAY, "block").orderBy(F.col("_row.position").desc(), F.col("_row.bin").asc_nulls_first())
+    next_at = F.last(F.when(F.col("_row.bin").isNull(), F.col("at")), ignorenulls=True)
+    rows = rows.withColumn("_at", next_at.over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("own")
+    probed = F.collect_list(F.when(F.col("_row.bin").isNotNull(), F.struct("_row.bin", F.col("_at").alias("at"))))
+    base = F.first(F.when(F.col("_row.bin").isNull(), F.struct(*[c for c in named.columns if c not in (*VISITOR_DAY, "block", "second")])), ignorenulls=True)
+    whole = rows.groupBy(*VISITOR_DAY, "block", "second").agg(base.alias("_base"), F.map_from_entries(probed).alias("_probed"))
+    whole = whole.select(*VISITOR_DAY, "second", "_base.*", "_probed")
+    better = {
+        _name(b): F.when(F.col(_name(b)).isNotNull(), F.struct(F.coalesce(F.col("_probed")[b], F.col(_name(b))["at"]).alias("at")))
+        for b in bins
+    }
+    return whole.withColumns(better)
+
+
 def _name(offset: int) -> str:
     return f"bin_{offset}"
 
@@ -190,13 +237,6 @@ def _nearest(entry: str, frames: dict[int, tuple[int, int]], w: WindowSpec) -> d
     }
 
 
-def _first_of_minute(last: Column, second: Column) -> Column:
-    """Earliest entry in the whole minute, counted back from ``second``, of ``last``."""
-    minute_start = second + 60 * clock.flooring_div(last["second"] - second, 60)
-    earlier = F.get(F.filter(last["recent"], lambda e: e["second"] >= minute_start), F.lit(0))
-    return F.coalesce(earlier["at"], last["at"])
-
-
 def _found(at: dict[int, Column]) -> Column:
     """Array of (off_bin, at) for the bins that hold a capture."""
     entries = [F.struct(F.lit(b).alias("off_bin"), at[b].alias("at")) for b in sorted(at)]
