@@ -51,8 +51,10 @@ def stay_time(detail: DataFrame) -> DataFrame:
 
 
 def _average_in_cents(total: Column, n: Column) -> Column:
-    """``total / n`` rounded half up to two digits, times 100, in whole numbers."""
-    return F.call_function("div", total * 200 + n, n * 2)
+    """``total / n`` rounded half to even to two digits, times 100, in whole numbers."""
+    cents = F.call_function("div", total * 100, n)
+    twice_left = (total * 100 - cents * n) * 2
+    return cents + F.when((twice_left > n) | ((twice_left == n) & (cents % 2 == 1)), 1).otherwise(0)
 
 
 def stay_time_segments(captures: DataFrame) -> DataFrame:

@@ -53,6 +53,11 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return captures_from_events(table(spark, sf_dir, "events"))
 
 
+def long_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same captures over three months, so that visitors return after two."""
+    return captures_from_events(table(spark, sf_dir, "events"), faster=1, slower=3)
+
+
 # Jobs ----------------------------------------------------------------------
 
 
@@ -87,7 +92,7 @@ def stored_detail(spark, sf_dir):
 
 @query
 def q_stay_time(spark, sf_dir):
-    return stay_time(stored_detail(spark, sf_dir))
+    return stay_time(q_visit_detail(spark, sf_dir))
 
 
 @query
@@ -100,6 +105,11 @@ def q_new_or_return(spark, sf_dir):
     return new_or_return(stored(q_stay_time(spark, sf_dir), "stay_time"))
 
 
+@query
+def q_new_or_return_long(spark, sf_dir):
+    return new_or_return(stored(stay_time(visit_detail(long_captures(spark, sf_dir))), "stay_time"))
+
+
 @query
 def q_hour_slices(spark, sf_dir):
     return hour_slices(q_visit_detail(spark, sf_dir)).select(
@@ -121,6 +131,13 @@ def q_demographics(spark, sf_dir):
     return demographics(detail, stay, new_or_return(stay))
 
 
+@query
+def q_demographics_long(spark, sf_dir):
+    detail = stored(visit_detail(long_captures(spark, sf_dir)), "visit_detail")
+    stay = stored(stay_time(detail), "stay_time")
+    return demographics(detail, stay, new_or_return(stay))
+
+
 @query
 def q_path_heatmap_boundary(spark, sf_dir):
     return path_heatmap(captures(spark, sf_dir), "boundary")
@@ -290,7 +307,11 @@ def q_filled_balances(spark, sf_dir):
 
 @query
 def q_csv_folder(spark, sf_dir):
-    """Orders written as CSV with awkward headers, bulk loaded, and read back."""
+    """Three CSV entries with awkward names and headers, bulk loaded, and read back together.
+
+    A folder of parts, of which some have another order of columns; a folder in
+    upper case; one with missing numbers and texts.
+    """
     folder = scratch_path(spark, "csv")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order key"),
@@ -301,10 +322,30 @@ def q_csv_folder(spark, sf_dir):
         F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderpriority")).alias("priority"),
         F.to_date("o_orderdate").alias("day"),
     )
-    orders.write.option("header", True).csv(f"{folder}/past orders.csv")
-    database = _database(spark, "csv")
-    loaded = csv_files.load_csv_folder(spark, folder, database)
-    return spark.table(loaded[0])
+    odd = F.col("`order key`") % 2 == 1
+    past = f"{folder}/past orders.csv"
+    orders.where(~odd).write.option("header", True).csv(past)
+    turned = orders.where(odd).select(*(f"`{c}`" for c in reversed(orders.columns)))
+    turned.write.mode("append").option("header", True).csv(past)
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    suppliers.write.option("header", True).csv(f"{folder}/SUPPLIERS.CSV")
+    nations = table(spark, sf_dir, "nation").select(
+        "n_nationkey", F.when(F.col("n_regionkey") > 1, F.col("n_name")).alias("n_name"),
+        F.when(F.col("n_regionkey") > 0, F.col("n_regionkey")).alias("n_regionkey"),
+    )
+    nations.write.option("header", True).csv(f"{folder}/nations.csv")
+    loaded = csv_files.load_csv_folder(spark, folder, _database(spark, "csv"))
+    nations, past, suppliers = (spark.table(t) for t in sorted(loaded, key=str.lower))
+    out = past.select(F.lit("orders").alias("entry"), "*")
+    more = suppliers.select(
+        F.lit("suppliers").alias("entry"), F.col("s_suppkey").alias("order_key"), F.col("s_nationkey").alias("cust_key"),
+        F.col("s_acctbal").alias("total_price"), F.col("s_name").alias("priority"),
+    )
+    rest = nations.select(
+        F.lit("nations").alias("entry"), F.col("n_nationkey").alias("order_key"), F.col("n_regionkey").alias("cust_key"),
+        F.col("n_name").alias("priority"),
+    )
+    return out.unionByName(more, allowMissingColumns=True).unionByName(rest, allowMissingColumns=True)
 
 
 @query
@@ -334,14 +375,94 @@ def q_deleted_rows(spark, sf_dir):
 
 @query
 def q_refresh(spark, sf_dir):
-    """The daily refresh of all dates, twice; returns its demographics table."""
+    """The daily refresh of all dates, and then of one again; returns its demographics table."""
+    return _refreshed(spark, sf_dir, "demographics", again=1)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, name: str, again: int = 0) -> DataFrame:
+    """A table of the daily refresh, with the tables it is made from, after ``again`` dates were made once more."""
     database = _database(spark, "refresh")
     rows = stored(captures(spark, sf_dir), "captures")
-    days = [r[0] for r in rows.select(F.to_date("capture_time")).distinct().collect()]
+    days = sorted(r[0] for r in rows.select(F.to_date("capture_time")).distinct().collect())
     settings = Settings(camera_id=CAMERA, gap_s=GAP_S)
-    for _ in range(2):
-        refresh(spark, rows, days, database, settings)
-    return spark.table(f"{database}.demographics").drop(tables.DATE_PARTITION, tables.LOAD_TIME)
+    for some in (days, days[:again]):
+        if some:
+            refresh(spark, rows, some, database, settings, only=[*MADE_FROM[name], name])
+    return spark.table(f"{database}.{name}").drop(tables.DATE_PARTITION, tables.LOAD_TIME)
+
+
+MADE_FROM: dict[str, list[str]] = {
+    "visit_detail": [], "arrival_groups": [], "path_heatmap": [],
+    "stay_time": ["visit_detail"], "new_or_return": ["visit_detail", "stay_time"],
+    "demographics": ["visit_detail", "stay_time", "new_or_return"],
+    "hourly_visitation": ["visit_detail", "arrival_groups", "stay_time", "new_or_return"],
+}
+for _name in MADE_FROM:
+    if _name != "demographics":
+        QUERIES[f"refreshed_{_name}"] = lambda spark, sf_dir, _name=_name: _refreshed(spark, sf_dir, _name)
+
+
+@query
+def q_appended_query(spark, sf_dir):
+    """Orders appended by a query with a parameter, which leaves a column out, and appended whole."""
+    name = f"{_database(spark, 'append')}.orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    view = name.replace(".", "_")
+    orders.createOrReplaceTempView(view)
+    tables.create_table(spark, name, orders.schema)
+    tables.append_query(
+        spark, f"SELECT o_custkey, o_orderkey FROM {view} WHERE o_orderpriority = :priority", name, {"priority": "2-HIGH"}
+    )
+    tables.append(orders, name)
+    return spark.table(name)
+
+
+@query
+def q_appended_rows(spark, sf_dir):
+    """All customers, and two literal rows with columns left out."""
+    name = f"{_database(spark, 'rows')}.customer"
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    tables.create_table(spark, name, customers.schema)
+    tables.append(customers, name)
+    tables.append_rows(spark, name, [{"c_custkey": -1, "c_acctbal": 0.5}, {"c_nationkey": 3}])
+    return spark.table(name)
+
+
+@query
+def q_copied_columns(spark, sf_dir):
+    """Columns of a supplier table copied into another, two at a time."""
+    database = _database(spark, "copy")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    for name in ("source", "target"):
+        tables.create_table(spark, f"{database}.{name}", suppliers.schema)
+    tables.append(suppliers, f"{database}.source")
+    for column in ("s_nationkey", "s_acctbal"):
+        tables.copy_columns(spark, f"{database}.source", f"{database}.target", ["s_suppkey", column])
+    return spark.table(f"{database}.target")
+
+
+@query
+def q_truncated_table(spark, sf_dir):
+    """All orders stored, the table truncated, and finished orders stored again."""
+    name = f"{_database(spark, 'truncate')}.orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    tables.create_table(spark, name, orders.schema)
+    tables.append(orders, name)
+    tables.truncate(spark, name)
+    tables.append(orders.where("o_orderstatus = 'F'"), name)
+    return spark.table(name)
+
+
+@query
+def q_load_time(spark, sf_dir):
+    """Events stored by date: every row is stamped, and all rows of a date alike."""
+    name = f"{_database(spark, 'stamp')}.events"
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    days = [r[0] for r in events.select(F.to_date("ts")).distinct().collect()]
+    tables.overwrite_dates(events, name, days, F.to_date("ts"))
+    rows = spark.table(name)
+    stamps = rows.groupBy("dt").agg(F.count_distinct(tables.LOAD_TIME).alias("stamps"))
+    return rows.join(stamps, "dt").select("event_id", "dt", F.col(tables.LOAD_TIME).isNotNull().alias("stamped"), "stamps")
 
 
 @query
@@ -358,14 +479,13 @@ def feed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the shape of the feed."""
     rows = table(spark, sf_dir, "events")
     seconds = clock.elapsed_seconds(F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-    pages = F.array(*[F.lit(p) for p in ("home", "search", "detail", "cart", "checkout")])
-    countries = F.array(*[F.lit(c) for c in ("SG", "CN", "US", "IN", "DE")])
-    return rows.select(
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("nation"), "n_name")
+    return rows.withColumn("nation", F.col("user_id") % 25).join(nations, "nation", "left").select(
         F.timestamp_millis(seconds * 1000 + F.col("event_id") % 1000).alias("event_time"),
         "user_id",
         "event_type",
-        F.get(pages, (F.col("event_id") % 5).cast("int")).alias("page"),
-        F.get(countries, (F.col("user_id") % 5).cast("int")).alias("country"),
+        F.concat(F.lit("page "), F.regexp_extract("props", "[0-9]+", 0)).alias("page"),
+        F.col("n_name").alias("country"),
         F.col("value").alias("amount"),
         F.col("props").alias("payload"),
     )

@@ -42,15 +42,17 @@ def refresh(
     database: str = "default",
     settings: Settings = Settings(),
     only: Iterable[str] = TABLES,
+    date_column: str | None = None,
 ) -> list[str]:
     """Rebuild ``dates`` in the derived tables; other dates stay as they are.
 
     All dates go through one plan per table. Each table is written and read back
     before the next one uses it, which also cuts the lineage. ``only`` picks the
-    tables to rebuild from what is stored.
+    tables to rebuild from what is stored. ``date_column`` is the date that the
+    captures are partitioned by, if they are: other dates are then not opened.
     """
     days = sorted(set(dates))
-    todays = on_dates(captures, "capture_time", days)
+    todays = on_dates(captures, "capture_time", days, date_column)
     if LOAD_TIME in todays.columns:
         todays = todays.drop(LOAD_TIME)
 

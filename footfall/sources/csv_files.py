@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
+from fnmatch import fnmatch
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 BAD_ROW = "_corrupt_record"
 
 
@@ -41,21 +43,40 @@ def read_csv(
     0 / 1, dates and times kept, fractions to double (or text), everything else
     to text. Missing text becomes an empty string, missing numbers stay null.
 
+    Parts are matched by their headers: one with another order of columns is read
+    by name, one with other columns is an error. The header of each part is read
+    on its own, a small job per part.
+
     A row that does not fit fails the read; with ``keep_bad_rows`` it is kept, with
     what could be read of it, and its text is in ``_corrupt_record``. Files with line
     breaks inside quotes need ``multi_line``, which reads each file in one task.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    lines = spark.read.option("header", True).option("multiLine", multi_line)
+    orders: dict[tuple[str, ...], list[str]] = {}
+    for part in _files(spark, path):
+        header = tuple(lines.csv(part).columns)
+        if header:  # an empty file has none
+            orders.setdefault(header, []).append(part)
+    if not orders:
+        raise ValueError(f"{path} holds no CSV with a header")
+    first = next(iter(orders))
+    for other, parts in orders.items():
+        if sorted(other) != sorted(first):
+            raise ValueError(f"{parts[0]} has the columns {list(other)}, other parts have {list(first)}")
     if schema is None:
-        inferring = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-        schema = inferring.csv(path).schema
-    reader = spark.read.option("header", True).option("multiLine", multi_line)
+        inferring = lines.option("inferSchema", True).option("samplingRatio", sampling_ratio)
+        found = [inferring.csv(parts).schema for parts in orders.values()]
+        schema = T.StructType([T.StructField(c, _widest([f[c].dataType for f in found])) for c in first])
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
     if keep_bad_rows:
-        schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
     else:
         reader = reader.option("mode", "FAILFAST")
-    raw = clean_names(reader.schema(schema).csv(path))
+    extra = [T.StructField(BAD_ROW, T.StringType())] if keep_bad_rows else []
+    frames = [
+        reader.schema(T.StructType([*(schema[c] for c in header), *extra])).csv(parts) for header, parts in orders.items()
+    ]
+    raw = clean_names(reduce(DataFrame.unionByName, frames))
     return raw.select(
         *[
             F.col(f.name) if f.name == BAD_ROW else _mapped(f, stringify_floats).alias(f.name)
@@ -64,6 +85,17 @@ def read_csv(
     )
 
 
+def _widest(kinds: list[T.DataType]) -> T.DataType:
+    """The type that holds all of ``kinds``, which parts of a file were inferred to have."""
+    known = [k for k in kinds if not isinstance(k, T.NullType)]
+    if len(set(known)) <= 1:
+        return known[0] if known else T.StringType()
+    for family, wide in (((T.IntegralType,), T.LongType()), ((T.IntegralType, T.DoubleType), T.DoubleType())):
+        if all(isinstance(k, family) for k in known):
+            return wide
+    return T.StringType()
+
+
 def _mapped(field: T.StructField, stringify_floats: bool):
     column, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, T.BooleanType):
@@ -79,40 +111,58 @@ def _mapped(field: T.StructField, stringify_floats: bool):
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def list_csv(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the entries of a folder: CSV files, or folders of CSV parts."""
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files at ``path``: itself, or those of a folder and its subfolders."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    return sorted(r.path for r in found.collect())
+
+
+def list_csv(spark: SparkSession, folder: str, skip: Sequence[str] = ()) -> list[str]:
+    """Names of the entries of a folder: files of any name, and ``.csv`` folders of parts.
+
+    Entries that match a pattern of ``skip`` are left out; another subfolder is an
+    error. Names that start with a dot or an underscore are hidden, as elsewhere in Spark.
+    """
     scheme = "^[a-zA-Z0-9]+:(//[^/]*)?"
     root = re.sub(scheme, "", folder).rstrip("/")
-    inside = F.substr(F.regexp_replace("path", scheme, ""), F.lit(len(root) + 2))
-    found = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-        .select(F.split_part(inside, F.lit("/"), F.lit(1)).alias("entry"))
-        .distinct()
-    )
-    return sorted(r.entry for r in found.collect())
+    names = set()
+    for path in _files(spark, folder):
+        entry, _, below = re.sub(scheme, "", path)[len(root) + 1 :].partition("/")
+        if any(fnmatch(entry, pattern) for pattern in skip):
+            continue
+        if below and not entry.lower().endswith(".csv"):
+            raise ValueError(f"{folder} has a subfolder {entry!r}; name it in skip to leave it out")
+        names.add(entry)
+    return sorted(names)
 
 
 def table_name(entry: str) -> str:
-    return re.sub(r"\W", "_", entry.replace(".csv", ""))
+    """``Past orders.CSV`` gives ``Past_orders``; another extension stays in the name."""
+    return re.sub(r"\W", "_", re.sub(r"\.csv$", "", entry, flags=re.IGNORECASE))
 
 
 def load_csv_folder(
     spark: SparkSession,
     folder: str,
     database: str = "default",
+    skip: Sequence[str] = (),
     **options,
 ) -> list[str]:
     """Append every CSV file of a folder to the table named after it.
 
-    Returns the table names. Each load is one distributed read and write;
+    Returns the table names. Two entries that would go to one table are an error,
+    before anything is loaded. Each load is one distributed read and write;
     ``options`` are those of ``read_csv``. No row is skipped.
     """
+    entries = list_csv(spark, folder, skip)
+    names = [table_name(e) for e in entries]
+    lowered = [n.lower() for n in names]
+    twice = [e for e, n in zip(entries, lowered) if lowered.count(n) > 1]
+    if twice:
+        raise ValueError(f"several entries make one table name: {twice}")
     loaded = []
-    for entry in list_csv(spark, folder):
-        table = f"{database}.{table_name(entry)}"
+    for entry, name in zip(entries, names):
+        table = f"{database}.{name}"
         rows = read_csv(spark, f"{folder.rstrip('/')}/{entry}", **options)
         rows.write.mode("append").saveAsTable(table)
         loaded.append(table)

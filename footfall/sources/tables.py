@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from footfall.sources.scratch import stored
+from footfall.sources.scratch import cleared, stored
 
 DATE_PARTITION = "dt"
 LOAD_TIME = "batch_time"
@@ -82,8 +82,14 @@ def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
     """Delete the rows for which ``predicate`` is true.
 
     Only partitions that hold such rows are rewritten. Their other rows go to a
-    shared scratch folder first, as Spark cannot overwrite what it is reading.
+    shared scratch folder first, as Spark cannot overwrite what it is reading;
+    the folder is removed afterwards.
     """
+    with cleared():
+        _delete(spark, table, predicate)
+
+
+def _delete(spark: SparkSession, table: str, predicate: Column) -> None:
     rows = spark.table(table)
     columns, partitions = rows.columns, _partition_columns(spark, table)
     keep = rows.where(~F.coalesce(predicate, F.lit(False)))

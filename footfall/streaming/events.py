@@ -7,6 +7,8 @@ topic needs Spark's Kafka connector on the class path.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,18 @@ TIME_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSX", "timeZone": "UTC
 BAD_MESSAGE = "bad_message"
 
 
-def parse_events(messages: DataFrame, fmt: str = "json", value: str = "value") -> DataFrame:
-    """Typed events from messages; what cannot be read is kept in ``bad_message``."""
+# What a topic tells about a message besides its value.
+METADATA = ["key", "partition", "offset"]
+LOAD_TIME = "load_time"
+
+
+def parse_events(messages: DataFrame, fmt: str = "json", value: str = "value", keep: Sequence[str] | None = None) -> DataFrame:
+    """Typed events from messages; what cannot be read is kept in ``bad_message``.
+
+    ``keep`` are columns of the message to carry along, by default those of
+    ``METADATA`` that it has.
+    """
+    keep = [c for c in METADATA if c in messages.columns] if keep is None else list(keep)
     schema = T.StructType([*EVENT.fields, T.StructField(BAD_MESSAGE, T.StringType())])
     text = F.rtrim(F.col(value).cast("string"), F.lit("\r\n"))
     options = {**TIME_FORMAT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_MESSAGE}
@@ -42,7 +54,20 @@ def parse_events(messages: DataFrame, fmt: str = "json", value: str = "value") -
         parsed = F.from_csv(text, F.lit(ddl), options)
     else:
         raise ValueError(f"unknown format {fmt!r}")
-    return messages.select(parsed.alias("event")).select("event.*")
+    kept = [F.col(c).cast("string").alias(c) if c == "key" else F.col(c) for c in keep]
+    return messages.select(*kept, parsed.alias("event")).select(*keep, "event.*")
+
+
+def once_each(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Drop messages that were delivered before, by partition and offset.
+
+    A stream remembers a message for ``delay`` of event time, so its state is
+    bounded; later redeliveries are not recognised. Messages without an event
+    time cannot be ordered and are compared by partition and offset all the same.
+    """
+    if not events.isStreaming:
+        return events.dropDuplicates(["partition", "offset"])
+    return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["partition", "offset"])
 
 
 def encode_events(events: DataFrame, fmt: str = "json", key: Column | None = None) -> DataFrame:
@@ -92,13 +117,19 @@ def ingest_events(
     fmt: str = "json",
     once: bool = True,
     interval: str = "1 minute",
+    distinct_within: str | None = None,
 ) -> StreamingQuery:
-    """Parse a message stream into Parquet files by event date.
+    """Parse a message stream into Parquet files by event date, stamped with the load time.
 
     The file sink and the checkpoint write every message exactly once, over
-    restarts too. ``once`` takes what is there and stops.
+    restarts too. What the feed itself delivers twice, with the same partition
+    and offset, is dropped if ``distinct_within`` says for how long to look back.
+    ``once`` takes what is there and stops.
     """
-    events = parse_events(messages, fmt).withColumn("event_date", F.to_date("event_time"))
+    events = parse_events(messages, fmt)
+    if distinct_within:
+        events = once_each(events, distinct_within)
+    events = events.withColumn(LOAD_TIME, F.current_timestamp()).withColumn("event_date", F.to_date("event_time"))
     writer = (
         events.writeStream.format("parquet")
         .option("path", path)
@@ -110,7 +141,7 @@ def ingest_events(
 
 
 def topic_options(
-    servers: str, topic: str, acks: str = "1", compression: str = "zstd", linger_ms: int = 20,
+    servers: str, topic: str, acks: str = "all", compression: str = "lz4", linger_ms: int = 50,
     idempotent: bool = False,
 ) -> dict[str, str]:
     """Options of the Kafka sink. Delivery is at least once, so readers de-duplicate."""
@@ -130,7 +161,12 @@ def publish_events(
     events: DataFrame, options: dict[str, str], checkpoint: str | None = None,
     fmt: str = "json", key: Column | None = None,
 ) -> StreamingQuery | None:
-    """Write events to a Kafka topic. Equal keys stay in order within a partition."""
+    """Write events to a Kafka topic. Equal keys stay in order within a partition.
+
+    A stream needs a checkpoint: without one it would start over when restarted.
+    """
+    if events.isStreaming and not checkpoint:
+        raise ValueError("a stream needs a checkpoint folder")
     messages = encode_events(events, fmt, key)
     if not events.isStreaming:
         messages.write.format("kafka").options(**options).save()
