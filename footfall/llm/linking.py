@@ -1,12 +1,16 @@
-"""Links between members of hash buckets, with work in proportion to the members.
+"""Links between texts with equal sketches, with work in proportion to the texts.
 
-All pairs of a bucket would be quadratic in a group of copies. Instead every
-member is compared with two pivots of its bucket, which differ from bucket to
-bucket. In a bucket of up to three members that is every pair. Members that
-match neither pivot go on. Few of them in a bucket are compared with each other;
-of more, each has to share one more bucket with the others, which splits chance
-meetings, and they get new pivots, four times as many each round, until none is
-left. No member is dropped and no bucket is capped.
+Texts with the same sketch in the same place of their lists share a bucket. All
+pairs of a bucket would be quadratic in a group of copies, or in the texts that
+have one passage in common. Instead every member is compared with two pivots of
+its bucket, which differ from bucket to bucket. In a bucket of up to three
+members that is every pair.
+
+Members that match neither pivot go on. A few of them in one bucket are compared
+with each other. Of more, each goes to three narrower buckets, where one more
+sketch has to agree, and gets new pivots there. Groups that stay large after two
+such rounds get four times as many pivots each round until none is left. No
+member is dropped and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -19,33 +23,40 @@ from pyspark.sql import functions as F
 from footfall.sources.scratch import stored
 
 #: Left-over members of a bucket up to which all pairs are compared.
-FEW = 32
-#: Rounds in which left-over members have to share one more bucket.
-REFINED = 2
+FEW = 12
+#: Distances of the sketches that have to agree as well, for each round of narrowing.
+NARROWER = ((1, 2, 5), (3, 7, 4))
 
 
-def pivot_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Verified pairs ``(a, b)``, a < b, among ``members``, rows ``(bucket, id)`` of two longs.
+def pivot_links(signed: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Verified pairs ``(a, b)``, a < b, among ``signed``, rows ``(id, sketches)`` with lists of one length.
 
-    ``verify`` gets distinct pairs and returns those that are similar. A link is
-    missed only if neither end is a pivot of any bucket that both are in, and one
-    end is similar to a pivot there; the pivot's own links then join most of them.
+    ``verify`` gets distinct pairs and returns those that are similar. Two similar
+    texts stay without a link of their own only if neither is a pivot of a bucket
+    that both are in, and one of them matched a pivot in each of these buckets, or
+    they share no narrower one; mostly the pivots' links join them all the same.
     """
-    members = stored(members.select("bucket", "id").distinct(), "members")
-    here, links, checked, turn = members, None, None, 0
+    signed = stored(signed, "signed")
+    entries = signed.select("id", F.posexplode("sketches").alias("place", "bucket"))
+    met = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    here = stored(entries.join(met, "bucket").select("bucket", "id", "place"), "members")
+    links, checked, turn = None, None, 0
     while True:
         sized = here.join(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
         few = F.lit(turn > 0) & (F.col("n") <= FEW)
         # XOR with the bucket orders ids differently in each bucket, and can be undone.
         mark = F.col("id").bitwiseXOR(F.col("bucket"))
-        many = sized.where(~few).select("bucket", "id", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(4**turn)).alias("salt"))
+        salts = 4 ** max(0, turn - len(NARROWER))
+        many = sized.where(~few).withColumn("salt", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(salts)))
         ends = many.groupBy("bucket", "salt").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
         ends = ends.select("bucket", F.explode(F.array("low", "high")).alias("end")).distinct()
-        star = many.join(ends, "bucket").select("bucket", "id", F.col("end").bitwiseXOR(F.col("bucket")).alias("pivot"))
+        star = many.join(ends, "bucket").select("bucket", "id", "place", F.col("end").bitwiseXOR(F.col("bucket")).alias("pivot"))
         if turn:
-            rest = sized.where(few).select("bucket", "id")
-            star = star.unionByName(rest.join(rest.withColumnRenamed("id", "pivot"), "bucket"))
-        star = stored(star.select("bucket", "id", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")), "stars")
+            rest = sized.where(few).select("bucket", "id", "place")
+            other = rest.select("bucket", F.col("id").alias("pivot"))
+            star = star.unionByName(rest.join(other, "bucket").where("id <= pivot"))
+        low, high = F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")
+        star = stored(star.select("bucket", "id", "place", "pivot", low, high), "stars")
         pairs = star.where("a <> b").select("a", "b").distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
@@ -53,18 +64,22 @@ def pivot_links(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
         found = stored(verify(pairs), "links")
         links = found if links is None else links.unionByName(found)
         checked = pairs if checked is None else checked.unionByName(pairs)
-        # A pivot is settled with itself, and so is each of few members.
-        hit = star.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left")
-        settled = F.max(F.when(F.col("a") == F.col("b"), 1).otherwise(F.coalesce("hit", F.lit(0))))
-        here = hit.groupBy("bucket", "id").agg(settled.alias("hit")).where("hit = 0").select("bucket", "id")
-        turn += 1
-        if turn <= REFINED:
-            other = members.select("id", F.col("bucket").alias("more"))
+        # Settled are members that match a pivot, pivots, and the few, who meet themselves.
+        matched = star.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left")
+        hit = F.max(F.when(F.col("id") == F.col("pivot"), 1).otherwise(F.coalesce("hit", F.lit(0))))
+        here = matched.groupBy("bucket", "id", "place").agg(hit.alias("hit")).where("hit = 0").select("bucket", "id", "place")
+        if turn < len(NARROWER):
+            several = here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+            more = [
+                F.element_at("sketches", F.pmod(F.col("place") + step, F.size("sketches")).cast("int") + 1) for step in NARROWER[turn]
+            ]
             here = (
-                here.join(other, "id").where("more <> bucket")
-                .select(F.xxhash64(F.least("bucket", "more"), F.greatest("bucket", "more")).alias("bucket"), "id")
+                here.join(several, "bucket").join(signed, "id")
+                .select("bucket", "id", "place", F.explode(F.array(*more)).alias("more"))
+                .select(F.xxhash64("bucket", "more").alias("bucket"), "id", "place")
                 .distinct()
             )
         here = stored(here, "left-over")
+        turn += 1
         if here.isEmpty():
             return links

@@ -184,11 +184,11 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = rows.where("n_words > 0").groupBy("id").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")
     )
-    members = texts.select("id", F.explode("sketches").alias("bucket"))
-    met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stored(members.join(met, "bucket"), "members")
+    texts = stored(texts, "different-texts")
     # Texts of candidates only, one document for each different text.
-    chosen = rows.where("n_words > 0").join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
+    members = texts.select("id", "doc_id", F.explode("sketches").alias("bucket"))
+    met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    chosen = members.join(met, "bucket").select("id", "doc_id").distinct()
     packed = docs.join(chosen, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary")
     packed = stored(packed.dropDuplicates(["id"]), "words")
 
@@ -200,7 +200,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         both = pairs.join(left, "a").join(right, "b").where(near)
         return both.select("a", "b", "left", "right").mapInArrow(_aligned(similarity), "a bigint, b bigint")
 
-    links = stored(pivot_links(members, verify), "near-links")
+    links = stored(pivot_links(texts.select("id", "sketches"), verify), "near-links")
     # Rows that repeat an id tie their texts together.
     shared = rows.where("n_words > 0").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
     again = rows.where("n_words > 0").join(shared.where("a <> b"), "doc_id").select("a", F.col("id").alias("b"))

@@ -131,12 +131,13 @@ def repeated_paragraphs(
     fields = f"doc_id {kind}, para int, id bigint, n_words int, " + ", ".join(f"b{b} bigint" for b in range(BANDS))
     rows = stored(docs.mapInArrow(_signed(min_words), fields), "paragraphs")
     texts = rows.groupBy("id").agg(*(F.first(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
-    members = texts.select("id", F.explode(F.array(*(f"b{b}" for b in range(BANDS)))).alias("bucket"))
+    texts = stored(texts.select("id", F.array(*(f"b{b}" for b in range(BANDS))).alias("sketches")), "signed")
+    members = texts.select("id", F.explode("sketches").alias("bucket"))
     met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stored(members.join(met, "bucket"), "members")
+    members = members.join(met, "bucket").select("id").distinct()
     # Each different candidate once, from the first document that has it.
     place = F.struct("doc_id", "para")
-    chosen = rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min(place).alias("at"))
+    chosen = rows.join(members, "id", "left_semi").groupBy("id").agg(F.min(place).alias("at"))
     wanted = chosen.groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.para")).alias("wanted"))
     packed = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_shingles, "id bigint, shingles binary")
     packed = stored(packed.dropDuplicates(["id"]), "shingles")
@@ -149,7 +150,7 @@ def repeated_paragraphs(
         both = pairs.join(left, "a").join(right, "b").where(near)
         return both.select("a", "b", "left", "right").mapInArrow(_similar(similarity), "a bigint, b bigint")
 
-    named = components(pivot_links(members, verify))
+    named = components(pivot_links(texts, verify))
     told = rows.select("doc_id", "para", "id", "n_words").distinct().join(named, "id", "left")
     told = stored(told.select("doc_id", "para", "n_words", F.coalesce("component", "id").alias("cluster")), "clustered")
     cluster = told.groupBy("cluster").agg(
