@@ -73,7 +73,7 @@ def test_dedupe_consecutive_goes_by_name(spark):
 
 # Arrival groups -------------------------------------------------------------
 
-WORKED = ["08:00:00", "08:00:01", "08:00:02", "08:00:05", "08:00:06"]
+WORKED = ["09:10:00", "09:10:02", "09:10:03", "09:10:07", "09:10:08"]
 
 
 def test_worked_group_example(spark):
@@ -143,12 +143,15 @@ def test_stay_is_longest_visit_and_zero_takes_the_average(spark):
     assert got[2, 2] == (Decimal("600.00"), 1)  # visitor 1 stayed 600 s
 
 
-def test_average_is_rounded_half_up_and_kept_per_business_day(spark):
+def test_average_is_rounded_half_to_even_and_kept_per_business_day(spark):
     rows = [(p, "10:00:00", 1) for p in range(8)]
     rows += [(p, f"10:00:{20 + (p == 0):02d}", 2) for p in range(8)]  # one stays 21 s, seven 20 s
     rows += [(50, "10:30:00", 1), (51, "05:00:00", 1)]
+    rows += [(p, "11:00:00", 3) for p in range(8)] + [(p, f"11:00:{20 + (p < 3)}", 4) for p in range(8)]  # three stay 21 s
+    rows += [(52, "11:30:00", 3)]
     got = {(r.profile_id, r.region_id): r.stay_time for r in stay_time(visits(spark, rows)).collect()}
-    assert got[50, 1] == Decimal("20.13")  # 20.125
+    assert got[50, 1] == Decimal("20.12")  # 20.125
+    assert got[52, 3] == Decimal("20.38")  # 20.375
     assert got[51, 1] == Decimal("0.00")  # another business day
 
 
@@ -307,11 +310,11 @@ def test_demographics_counts(spark):
 
 def test_daily_user_stats_for_one_date(spark):
     stats = spark.createDataFrame(
-        [(date(2023, 10, 1), 12345, 10, 3), (date(2023, 10, 1), 12345, 1, 1), (date(2023, 10, 2), 1, 1, 1)],
+        [(date(2024, 5, 7), 31, 6, 2), (date(2024, 5, 7), 31, 2, 3), (date(2024, 5, 8), 1, 1, 1)],
         "date date, user_id long, page_views int, clicks int",
     )
-    assert rows_of(daily_user_stats(stats, date(2023, 10, 1)), "total_users", "total_views", "total_clicks") == [
-        (1, 11, 4)
+    assert rows_of(daily_user_stats(stats, date(2024, 5, 7)), "total_users", "total_views", "total_clicks") == [
+        (1, 8, 5)
     ]
 
 

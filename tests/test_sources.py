@@ -92,17 +92,17 @@ def test_append_query_rows_copy_truncate(spark, db):
     schema = spark.createDataFrame([], "date date, user_id long, page_views int, clicks int").schema
     tables.create_table(spark, t, schema)
     tables.create_table(spark, t, schema)
-    tables.append_rows(spark, t, [{"date": D1, "user_id": 12345, "page_views": 10, "clicks": 3}, {"user_id": 7}])
+    tables.append_rows(spark, t, [{"date": D1, "user_id": 31, "page_views": 6, "clicks": 2}, {"user_id": 7}])
     assert rows_of(spark.table(t).where("user_id = 7"), "date", "clicks") == [(None, None)]
     tables.append_query(
         spark, f"SELECT clicks, user_id + 1 AS user_id FROM {t} WHERE date = :day", t, {"day": D1}
     )
-    assert rows_of(spark.table(t).where("user_id = 12346"), "page_views", "clicks") == [(None, 3)]
+    assert rows_of(spark.table(t).where("user_id = 32"), "page_views", "clicks") == [(None, 2)]
     with pytest.raises(ValueError):
         tables.append_rows(spark, t, [{"nope": 1}])
     tables.create_table(spark, f"{db}.ids", spark.createDataFrame([], "user_id long").schema)
     tables.copy_columns(spark, t, f"{db}.ids", ["user_id"])
-    assert rows_of(spark.table(f"{db}.ids"), "user_id") == [(7,), (12345,), (12346,)]
+    assert rows_of(spark.table(f"{db}.ids"), "user_id") == [(7,), (31,), (32,)]
     tables.truncate(spark, t)
     assert spark.table(t).count() == 0
 
@@ -175,3 +175,69 @@ def test_line_breaks_in_quotes(spark, tmp_path):
     (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n')
     rows = csv_files.read_csv(spark, str(tmp_path / "x.csv"), multi_line=True).collect()
     assert [tuple(r) for r in rows] == [(1, "two\nlines")]
+
+
+def test_every_file_of_a_folder_is_loaded_or_refused(spark, db, tmp_path):
+    (tmp_path / "UPPER.CSV").write_text("a,b\n1,x\n")
+    (tmp_path / "plain.txt").write_text("a,b\n2,y\n")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "x.csv").write_text("a\n1\n")
+    with pytest.raises(ValueError, match="sub"):
+        csv_files.load_csv_folder(spark, str(tmp_path), db)
+    loaded = csv_files.load_csv_folder(spark, str(tmp_path), db, skip=["sub"])
+    assert loaded == [f"{db}.UPPER", f"{db}.plain_txt"]
+    assert rows_of(spark.table(f"{db}.UPPER"), "a", "b") == [(1, "x")]
+
+
+def test_names_that_clash_are_refused_before_loading(spark, db, tmp_path):
+    (tmp_path / "a b.csv").write_text("a\n1\n")
+    (tmp_path / "a-B.csv").write_text("a\n2\n")
+    with pytest.raises(ValueError, match="one table name"):
+        csv_files.load_csv_folder(spark, str(tmp_path), db)
+    assert not spark.catalog.tableExists(f"{db}.a_b")
+
+
+def test_parts_are_matched_by_header(spark, tmp_path):
+    parts = tmp_path / "parts.csv"
+    parts.mkdir()
+    (parts / "1.csv").write_text("a,b\n1,x\n")
+    (parts / "2.csv").write_text("b,a\ny,2.5\n")
+    assert rows_of(csv_files.read_csv(spark, str(parts)), "a", "b") == [(1.0, "x"), (2.5, "y")]
+    (parts / "3.csv").write_text("a,c\n1,x\n")
+    with pytest.raises(ValueError, match="columns"):
+        csv_files.read_csv(spark, str(parts))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from footfall.sources import scratch
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master, folder = "yarn", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.scratch_path(Session, "x")
+    monkeypatch.setattr(Context, "folder", "hdfs://shared/checkpoints")
+    assert scratch.scratch_path(Session, "x").startswith("hdfs://shared/checkpoints/x-")
+    monkeypatch.setattr(Context, "folder", None)
+    monkeypatch.setattr(Context, "master", "local[2]")
+    assert scratch.scratch_path(Session, "x").startswith("/")
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    from footfall.sources import scratch
+
+    with scratch.cleared():
+        df = scratch.stored(spark.range(3), "kept")
+        path = df.inputFiles()[0].removeprefix("file://")
+        assert df.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path)

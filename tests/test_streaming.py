@@ -53,12 +53,49 @@ def test_stream_matches_batch_and_resumes(spark, tmp_path):
     run()
     run()  # nothing new
     batch = feed.parse_events(spark.read.text(source)).collect()
-    stored = spark.read.parquet(out).drop("event_date").collect()
+    stored = spark.read.parquet(out).drop("event_date", "load_time").collect()
     assert sorted(stored, key=repr) == sorted(batch, key=repr) and len(stored) == 21
 
 
 def test_topic_options():
     plain = feed.topic_options("host:1", "t")
-    assert plain["kafka.acks"] == "1" and "kafka.enable.idempotence" not in plain
+    assert plain["kafka.acks"] == "all" and "kafka.enable.idempotence" not in plain
     safe = feed.topic_options("host:1", "t", idempotent=True)
     assert safe["kafka.acks"] == "all" and safe["kafka.enable.idempotence"] == "true"
+
+
+def message(i, offset, minute=0):
+    text = JSON.replace('"user_id": 7', f'"user_id": {i}').replace("10:11:12", f"10:{minute:02d}:12")
+    return (f"k{i}".encode(), 1, offset, text)
+
+
+def test_metadata_is_kept(spark):
+    rows = spark.createDataFrame([message(3, 9)], "key binary, partition int, offset long, value string")
+    got = feed.parse_events(rows).first()
+    assert (got.key, got.partition, got.offset, got.user_id) == ("k3", 1, 9, 3)
+    assert "offset" not in feed.parse_events(rows, keep=["key"]).columns
+
+
+def test_redelivered_messages_are_dropped(spark, tmp_path):
+    schema = "key binary, partition int, offset long, value string"
+    source, out, marks = (str(tmp_path / d) for d in ("in", "out", "marks"))
+    deliveries = [[message(1, 0), message(2, 1), message(1, 0)], [message(2, 1), message(3, 2, 5)]]
+
+    def deliver(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        feed.ingest_events(stream, out, marks, distinct_within="1 hour").awaitTermination()
+
+    for rows in deliveries:
+        deliver(rows)
+    got = spark.read.parquet(out)
+    assert sorted((r.offset, r.user_id) for r in got.collect()) == [(0, 1), (1, 2), (2, 3)]
+    assert got.where("load_time IS NULL").count() == 0
+    batch = feed.parse_events(spark.createDataFrame(deliveries[0], schema))
+    assert feed.once_each(batch).count() == 2
+
+
+def test_a_stream_needs_a_checkpoint(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("timestamp AS event_time")
+    with pytest.raises(ValueError, match="checkpoint"):
+        feed.publish_events(stream, {})
