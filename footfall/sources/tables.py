@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -71,11 +71,15 @@ def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Colum
     elif _partition_columns(spark, table) != [DATE_PARTITION]:
         raise ValueError(f"{table} is not partitioned by {DATE_PARTITION}")
     # Splits a large date over several files and merges small ones.
-    rows = _by_name(rows, table).hint("rebalance", DATE_PARTITION)
+    # The dates that get rows are noted on the way: as many as there are dates.
+    written = Observation()
+    rows = _by_name(rows, table).observe(written, F.collect_set(DATE_PARTITION).alias("dates"))
     with _overwrite_mode(spark, "dynamic"):
-        rows.write.mode("overwrite").insertInto(table)
+        rows.hint("rebalance", DATE_PARTITION).write.mode("overwrite").insertInto(table)
     if existed:
-        _drop_stale(spark, table, wanted, stamp)
+        # Dynamic overwrite leaves dates alone that got no rows.
+        for day in sorted(set(wanted) - set(written.get["dates"] or [])):
+            _drop_partition(spark, table, {DATE_PARTITION: day})
 
 
 def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
@@ -142,19 +146,6 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c for c in section if c and not c.startswith("#")]
 
 
-def _drop_stale(spark: SparkSession, table: str, wanted: list[date], stamp: Column) -> None:
-    """Drop wanted dates that got no rows: dynamic overwrite leaves them alone."""
-    fresh = (
-        spark.table(table)
-        .where(F.col(DATE_PARTITION).isin(wanted) & (F.col(LOAD_TIME) == stamp))
-        .select(DATE_PARTITION)
-        .distinct()
-        .collect()
-    )
-    for day in sorted(set(wanted) - {r[0] for r in fresh}):
-        _drop_partition(spark, table, {DATE_PARTITION: day})
-
-
 def _drop_partition(spark: SparkSession, table: str, values: dict) -> None:
     spec = ", ".join(f"`{name}` = {_sql_literal(value)}" for name, value in values.items())
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

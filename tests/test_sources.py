@@ -149,10 +149,10 @@ def test_csv_folder_becomes_tables(spark, db, tmp_path):
     (tmp_path / "people.csv").write_text(CSV)
     (tmp_path / "zone sales.csv").write_text("hour,zone,sales\n1,a,2\n")
     (tmp_path / "readme.txt").write_text("not a table")
-    loaded = csv_files.load_csv_folder(spark, str(tmp_path), db)
+    loaded = csv_files.load_csv_folder(spark, str(tmp_path), db, skip=["*.txt"])
     assert loaded == [f"{db}.people", f"{db}.zone_sales"]
     assert spark.table(f"{db}.people").count() == 2
-    csv_files.load_csv_folder(spark, str(tmp_path), db)
+    csv_files.load_csv_folder(spark, str(tmp_path), db, skip=["*.txt"])
     assert spark.table(f"{db}.people").count() == 4
 
 
