@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from footfall.functions import clock
 from footfall.functions.buckets import age_range
 from footfall.operators.counting import fill_with_group_mean
+from footfall.operators.ordered import top_rows
 
 SECONDS = "decimal(18,2)"
 
@@ -72,29 +73,33 @@ def stay_time_segments(captures: DataFrame) -> DataFrame:
         .withColumn("date_casino", clock.business_date(F.col("capture_time")))
         .withColumn("Age_range", age_range(F.col("age")))
         .withColumn("region_type", F.lit(""))
+        .select(*day, "capture_time", "region_id", "capture_id", *attributes)
     )
-    # The stays need nothing but times and regions, at most one row per second and region.
-    w = Window.partitionBy(*day).orderBy("capture_time", "region_id")
-    starts = (
-        seen.select(*day, "capture_time", "region_id")
-        .distinct()
-        .withColumn("_before", F.lag("region_id").over(w))
-        .where("_before is null or _before <> region_id")
-    )
-    stay = clock.elapsed_seconds(F.col("capture_time"), F.col("_next"))
+    # Of each second and region one row for every set of known attributes: all that can be first known.
+    unknown = sum((F.when(F.col(a).isNull(), 1 << i).otherwise(0) for i, a in enumerate(attributes)), F.lit(0))
+    seen = top_rows(seen.withColumn("_unknown", unknown), [*day, "capture_time", "region_id", "_unknown"], [F.col("capture_id")])
+    # Everything else happens within a visitor's day, after one shuffle.
+    part = Window.partitionBy(*day)
+    onward = part.orderBy("capture_time", "region_id", "capture_id")
+    back = part.orderBy(*(F.col(c).desc() for c in ("capture_time", "region_id", "capture_id")))
+    before = F.lag("region_id").over(onward)
+    starts = seen.withColumn("_start", F.when(before.isNull() | (before != F.col("region_id")), F.col("capture_time")))
+    following = F.last("_start", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    stay = clock.elapsed_seconds(F.col("_start"), F.col("_next")).cast("double")
+    in_region = Window.partitionBy(*day, "region_id").orderBy("capture_time", "capture_id")
+    whole = in_region.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     longest = (
-        starts.withColumn("_next", F.lead("capture_time").over(w))
-        .groupBy(*day, "region_id")
-        .agg(F.max(stay.cast("double")).alias("stay_time"))
+        starts.withColumn("_next", following)
+        .withColumns(
+            {
+                "stay_time": F.max(stay).over(whole),
+                **{a: F.first(a, ignorenulls=True).over(whole) for a in attributes},
+                "_row": F.row_number().over(in_region),
+            }
+        )
+        .where("_row = 1")
+        .select(*day, "region_id", "stay_time", *attributes)
     )
-    first_seen = F.struct("capture_time", "capture_id")
-    known = seen.groupBy(*day, "region_id").agg(*[_first_known(a, first_seen) for a in attributes])
-    filled = fill_with_group_mean(longest, ["date", "date_casino", "region_id"], "stay_time")
-    return filled.join(known, [*day, "region_id"]).select(
+    return fill_with_group_mean(longest, ["date", "date_casino", "region_id"], "stay_time").select(
         "profile_id", "date", "date_casino", "region_id", "stay_time", *attributes
     )
-
-
-def _first_known(name: str, order: Column) -> Column:
-    """First non-null value of ``name``; ``min_by`` skips rows with a null order."""
-    return F.min_by(name, F.when(F.col(name).isNotNull(), order)).alias(name)

@@ -133,10 +133,10 @@ def test_groups_push_the_camera_down(stored):
     assert "row_number(), 1, Partial" in text
 
 
-def test_segments_share_their_stays(spark, stored, no_broadcast):
-    df = stay_time_segments(stored)
-    df.collect()
-    assert "ReusedExchange" in plan(df)
+def test_segments_sort_no_raw_captures(stored):
+    text = plan(stay_time_segments(stored))
+    assert "SortAggregate" not in text
+    assert "row_number(), 1, Partial" in text  # reduced before the first shuffle
 
 
 def test_counts_do_not_expand_rows(stored):
