@@ -72,9 +72,11 @@ def ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     )
     state = stored(known, "chat-jumps")
     tables = []
+    # No path is longer than there are nodes: what is open after that is a circle.
+    most = nodes.count().bit_length()
     while True:
         open_ = state.where(F.col("up").isNotNull())
-        if open_.isEmpty() or len(tables) >= 62:
+        if len(tables) >= most or open_.isEmpty():
             break
         tables.append(open_.select(*key, "up"))
         above = state.select(

@@ -165,7 +165,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     )
     made = ("size", "source_size", "target", "copies", "taken")
     part = found.where("copies > 0").select(*(F.col(c).alias(f"__{c}") for c in (*key, *made, "rows")))
-    own = [c for c in docs.columns if c.lower() not in made]
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
     rows = docs.select(own).withColumn("__text", F.xxhash64("text"))
     same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), F.col("source").eqNullSafe(F.col("__source"))]
     joined = rows.join(part, same[0] & same[1] & (F.col("__text") == F.col("__text_key")))

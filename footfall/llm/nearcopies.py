@@ -226,6 +226,7 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     found = stored(near_classes(docs, similarity), "classes")
     chosen = found.where("kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.count("*").alias("__rows"))
     rows = docs.join(chosen, F.col("doc_id") == F.col("__doc"))
-    once = rows.where("__rows = 1").select(docs.columns)
-    again = rows.where("__rows > 1").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    once = rows.where("__rows = 1").select(own)
+    again = rows.where("__rows > 1").select(own).dropDuplicates(["doc_id", "text"])
     return once.unionByName(again).unionByName(docs.where("doc_id IS NULL"))

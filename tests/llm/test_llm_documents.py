@@ -16,10 +16,10 @@ SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
         T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
-        *(T.StructField(c, T.StringType()) for c in ("score", "id", "bucket", "size", "seed", "class_id", "words", "flagged")),
+        *(T.StructField(c, T.StringType()) for c in ("score", "id", "bucket", "size", "seed", "class_id", "words", "flagged", "a.b")),
     ]
 )
-EXTRA = ("s", None, "b", "x", "y", "z", "w", "f")
+EXTRA = ("s", None, "b", "x", "y", "z", "w", "f", "d")
 
 
 def docs(spark, rows):

@@ -62,11 +62,12 @@ def test_branches_are_ranked(spark):
         (None, 0, None, "user", "alone", 0.0), (2, 8, 99, "user", "orphan", 0.0), (3, 1, 2, "a", "circle", 0.0), (3, 2, 1, "b", "circle", 0.0),
     ]
     rows += [(9, i, i - 1 if i else None, "user", f"t{i}", 0.0) for i in range(70)]
-    nodes = spark.createDataFrame(rows, NODES).where("conv_id IS NULL OR conv_id <> 3")
+    nodes = spark.createDataFrame(rows, NODES)
     got = {}
     for r in chat.branches(nodes).orderBy("conv_id", "rank", "step").collect():
         got.setdefault((r.conv_id, r["rank"]), []).append(r.node)
     assert got[(1, 1)] == [0, 2, 3, 4] and got[(1, 2)] == [0, 2, 3, 5] and got[(1, 3)] == [0, 1]
+    assert not any(c == 3 for c, _ in got)
     assert got[(None, 1)] == [0] and got[(2, 1)] == [8] and got[(9, 1)] == list(range(70))
     best = chat.format_branches(nodes, best=1).where("conv_id = 1").first()
     assert best.formatted == "### user: q</turn>\n### assistant: good</turn>\n### user: more</turn>\n### assistant: end</turn>\n"
