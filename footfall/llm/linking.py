@@ -44,11 +44,13 @@ def pivot_links(signed: DataFrame, verify: Callable[[DataFrame], DataFrame]) ->
     while True:
         sized = here.join(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
         few = F.lit(turn > 0) & (F.col("n") <= FEW)
-        # XOR with the bucket orders ids differently in each bucket, and can be undone.
+        # XOR with the bucket orders ids differently in each bucket, and can be undone by another.
         mark = F.col("id").bitwiseXOR(F.col("bucket"))
         salts = 4 ** max(0, turn - len(NARROWER))
         many = sized.where(~few).withColumn("salt", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(salts)))
-        ends = many.groupBy("bucket", "salt").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+        # The least id itself is the first pivot at first: copies in many buckets then meet in the same pairs.
+        low = F.min(mark) if turn else F.min("id").bitwiseXOR(F.first("bucket"))
+        ends = many.groupBy("bucket", "salt").agg(low.alias("low"), F.max(mark).alias("high"))
         ends = ends.select("bucket", F.explode(F.array("low", "high")).alias("end")).distinct()
         star = many.join(ends, "bucket").select("bucket", "id", "place", F.col("end").bitwiseXOR(F.col("bucket")).alias("pivot"))
         if turn:
