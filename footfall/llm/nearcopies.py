@@ -32,6 +32,8 @@ from footfall.sources.scratch import stored
 K = 5
 SKETCHES = 24
 SIMILARITY = 0.8
+#: Candidates, of two numbers each, up to which they are broadcast.
+SENT_IDS = 500_000
 
 _U = np.uint64
 _A = mix(np.arange(SKETCHES).astype(_U), 11) | _U(1)
@@ -188,8 +190,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # Texts of candidates only, one document for each different text.
     members = texts.select("id", "doc_id", F.explode("sketches").alias("bucket"))
     met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    chosen = members.join(met, "bucket").select("id", "doc_id").distinct()
-    packed = docs.join(chosen, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary")
+    chosen = stored(members.join(met, "bucket").select("id", "doc_id").distinct(), "candidates")
+    # Their texts are only shuffled where the ids are too many to be sent to every executor.
+    few = F.broadcast(chosen) if chosen.count() <= SENT_IDS else chosen
+    packed = docs.join(few, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary")
     packed = stored(packed.dropDuplicates(["id"]), "words")
 
     def verify(pairs: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.components import components
 from footfall.llm.linking import pivot_links
-from footfall.llm.nearcopies import fingerprints, kmers
+from footfall.llm.nearcopies import SENT_IDS, fingerprints, kmers
 from footfall.llm.words import mix, pieces, split_words
 from footfall.sources.scratch import stored
 
@@ -138,7 +138,10 @@ def repeated_paragraphs(
     # Each different candidate once, from the first document that has it.
     place = F.struct("doc_id", "para")
     chosen = rows.join(members, "id", "left_semi").groupBy("id").agg(F.min(place).alias("at"))
+    chosen = stored(chosen, "candidates")
     wanted = chosen.groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.para")).alias("wanted"))
+    # Texts are only shuffled where the places of candidates are too many to be sent to every executor.
+    wanted = F.broadcast(wanted) if chosen.count() <= SENT_IDS else wanted
     packed = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_shingles, "id bigint, shingles binary")
     packed = stored(packed.dropDuplicates(["id"]), "shingles")
 
