@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.frames import map_rows
 from footfall.sources.scratch import stored
 
 WINDOW = 10
@@ -185,7 +186,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, limit:
         return run
 
     for patterns in _parts(benchmark, size, limit):
-        docs = docs.mapInArrow(without(patterns), docs.schema)
+        docs = map_rows(docs, without(patterns), docs.schema)
     return docs
 
 

@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.frames import map_rows
 from footfall.llm.words import LOWER, mix, pieces
 
 #: Cells that n-grams are hashed to.
@@ -181,4 +182,4 @@ def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names).filter(known)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run, docs.schema)

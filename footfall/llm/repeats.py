@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.frames import map_rows
 from footfall.llm.words import Words, char_at, mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
 
@@ -254,4 +255,4 @@ def cut(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     flagged = stored(flagged_reaches(docs, length, seed), "flagged")
     tag = flagged.select(F.col("doc_id").alias("__doc"), F.col("flagged").alias("__flagged"))
     joined = docs.join(tag, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
-    return joined.mapInArrow(_spans(length, seed, docs.columns, True), docs.schema)
+    return map_rows(joined, _spans(length, seed, docs.columns, True), docs.schema)

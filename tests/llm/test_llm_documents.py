@@ -8,6 +8,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import types as T
 
+import corpus_pipeline
 from footfall.llm import decontaminate, langid, mixing, nearcopies, paragraphs, quality, repeats
 
 SF = "/root/testdata/sf0.01"
@@ -372,3 +373,29 @@ def test_rounding_keeps_expectation():
     assert np.allclose(runs.sum(1), mass.sum())
     assert ((runs > 1e-6) & (runs < size - 1e-6)).sum(1).max() <= 1
     assert np.abs(runs.mean(0) - mass).max() < 0.08
+
+
+def test_pipeline(spark, corpus, tmp_path):
+    """All stages against their rules, each applied by brute force to what the one before left."""
+    item = " ".join(prose(24, 777))
+    rows = [*corpus, (80, f"{' '.join(prose(20, 778))} {item.upper()}"), (81, "123 456 ..."), (82, " ".join(prose(9, 779)))]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    benchmark(spark, [(1, item)]).write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+    left = [(i, t) for i, t in rows if t and any(c.isalpha() for c in t)]
+    first = linked_classes(left)
+    left = [(i, t) for i, t in dict.fromkeys(left) if i is None or first[i] == i]
+    repeated, texts = brute_repeats(left), {}
+    for i, t in left:
+        gone = repeated.get(i, (set(), set()))[0] if i is not None else set()
+        words = [w for k, w in enumerate(split(t)) if k not in gone]
+        if words:
+            texts[i] = words
+    leaks = brute_leaks([" ".join(w) for w in texts.values()], [(1, item)])
+    expected = {i: w for (i, w), leak in zip(texts.items(), leaks) if not leak[1]}
+    assert 80 not in expected and 81 not in expected and {82, None, 0, 50, 63} <= set(expected)
+    assert {r.doc_id: split(r.text) for r in got} == expected and len(got) == len(expected)
+    # One source: it gets its own words, each document once.
+    assert all(r.copies == 1 and r.taken == r["size"] == len(r.text.split()) for r in got)
+    assert {r.target for r in got} == {float(sum(map(len, expected.values())))}
