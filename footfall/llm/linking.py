@@ -7,8 +7,8 @@ its bucket, which differ from bucket to bucket. In a bucket of up to three
 members that is every pair.
 
 Members that match neither pivot go on. A few of them in one bucket are compared
-with each other. Of more, each goes to three narrower buckets, where one more
-sketch has to agree, and gets new pivots there. Groups that stay large after two
+with each other. Of more, each goes to one or two narrower buckets, where one
+more sketch has to agree, and gets new pivots there. Groups that stay large after two
 such rounds get four times as many pivots each round until none is left. No
 member is dropped and no bucket is capped.
 """
@@ -25,7 +25,7 @@ from footfall.sources.scratch import stored
 #: Left-over members of a bucket up to which all pairs are compared.
 FEW = 12
 #: Distances of the sketches that have to agree as well, for each round of narrowing.
-NARROWER = ((1, 2, 5), (3, 7, 4))
+NARROWER = ((1, 2), (3,))
 
 
 def pivot_links(signed: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -168,7 +168,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
     rows = docs.select(own).withColumn("__text", F.xxhash64("text"))
     same = [F.col("doc_id").eqNullSafe(F.col("__doc_id")), F.col("source").eqNullSafe(F.col("__source"))]
-    joined = rows.join(part, same[0] & same[1] & (F.col("__text") == F.col("__text_key")))
+    # One row a document: this side grows with the corpus and is not broadcast.
+    joined = rows.join(part.hint("merge"), same[0] & same[1] & (F.col("__text") == F.col("__text_key")))
     again = joined.where("__rows > 1").dropDuplicates(["doc_id", "source", "__text"])
     out = joined.where("__rows = 1").unionByName(again)
     return out.select(*own, *(F.col(f"__{c}").alias(c) for c in made))

@@ -229,7 +229,8 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     found = stored(near_classes(docs, similarity), "classes")
     chosen = found.where("kept").groupBy(F.col("doc_id").alias("__doc")).agg(F.count("*").alias("__rows"))
-    rows = docs.join(chosen, F.col("doc_id") == F.col("__doc"))
+    # One row a document: this side grows with the corpus and is not broadcast.
+    rows = docs.join(chosen.hint("merge"), F.col("doc_id") == F.col("__doc"))
     own = [F.col(f"`{c}`") for c in docs.columns]
     once = rows.where("__rows = 1").select(own)
     again = rows.where("__rows > 1").select(own).dropDuplicates(["doc_id", "text"])

@@ -254,5 +254,6 @@ def cut(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """
     flagged = stored(flagged_reaches(docs, length, seed), "flagged")
     tag = flagged.select(F.col("doc_id").alias("__doc"), F.col("flagged").alias("__flagged"))
-    joined = docs.join(tag, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    # What is repeated grows with the corpus and is not broadcast.
+    joined = docs.join(tag.hint("merge"), F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
     return map_rows(joined, _spans(length, seed, docs.columns, True), docs.schema)
