@@ -84,7 +84,9 @@ def ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             F.col("depth").alias("depth2"), F.col("total").alias("total2"), F.col("root").alias("root2"),
         )
         hit = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("n"))
-        longer = state.join(above, hit, "left")
+        # Nodes that have reached their root stay as they are and are not joined again.
+        longer = open_.join(above, hit, "left")
+        done = state.where(F.col("up").isNull())
         state = stored(
             longer.select(
                 *key,
@@ -92,7 +94,7 @@ def ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
                 (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
                 (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
                 F.coalesce("root2", "root").alias("root"),
-            ),
+            ).unionByName(done),
             "chat-jumps",
         )
     return tables, state.where(F.col("up").isNull()).drop("up")
