@@ -1,87 +1,127 @@
-"""Links between texts with equal sketches, with work in proportion to the texts.
+"""Links between texts with equal sketches, with work in proportion to the texts where they are alike.
 
 Texts with the same sketch in the same place of their lists share a bucket. All
-pairs of a bucket would be quadratic in a group of copies, or in the texts that
-have one passage in common. Instead every member is compared with two pivots of
-its bucket, which differ from bucket to bucket. In a bucket of up to three
-members that is every pair.
-
-Members that match neither pivot go on. A few of them in one bucket are compared
-with each other. Of more, each goes to one or two narrower buckets, where one
-more sketch has to agree, and gets new pivots there. Groups that stay large after two
-such rounds get four times as many pivots each round until none is left. No
-member is dropped and no bucket is capped.
+pairs of a bucket would be quadratic in a group of copies. So every member is
+compared with two pivots of its bucket first, and in larger buckets whose members
+are not all joined by then with some more. What the links join, over all buckets,
+gets one label, and two members with one label need no comparison any more.
+
+At last all pairs of a bucket that have different labels and were not compared
+yet are, in blocks of members that are dealt to tasks. A count of hashed parts of
+each text gives a bound that sorts out most of them before their texts are read.
+That is quadratic only in members that share a sketch but are not alike. No member
+is dropped, no bucket is capped, and no sketch has to agree besides the shared one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.components import components
 from footfall.sources.scratch import stored
 
-#: Left-over members of a bucket up to which all pairs are compared.
-FEW = 12
-#: Distances of the sketches that have to agree as well, for each round of narrowing.
-NARROWER = ((1, 2), (3,))
+#: Parts of a bucket with two pivots each, for each round of pivots.
+PARTS = (1, 4)
+#: Members of a block; buckets of one block take no further pivots before all pairs.
+BLOCK = 128
+#: Bins of a bag.
+BINS = 256
+
+
+def bag(values: np.ndarray) -> bytes:
+    """How many of the hashes fall into each bin, up to 255."""
+    return np.minimum(np.bincount((values % values.dtype.type(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def _common(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Most parts that texts of ``n`` and ``m`` parts with these bags can have in common, pair by pair."""
+    least = np.stack([np.minimum(own, y).sum(axis=1, dtype=np.int64) for own in x])
+    return least + np.minimum((n - x.sum(axis=1, dtype=np.int64))[:, None], (m - y.sum(axis=1, dtype=np.int64))[None, :])
+
 
+def _unlike(alike):
+    """Pairs ``(a, b)`` of two blocks that have different labels and can be similar."""
 
-def pivot_links(signed: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            for own, left, right in zip(batch.column("own").to_pylist(), batch.column("left"), batch.column("right")):
+                (a, p), (b, q) = ([side.values.field(c).to_numpy() for c in ("id", "label")] for side in (left, right))
+                want = p[:, None] != q[None, :]
+                if own:
+                    want &= a[:, None] < b[None, :]
+                if alike is not None:
+                    n, m = (side.values.field("size").to_numpy() for side in (left, right))
+                    x, y = (np.stack([np.frombuffer(v, np.uint8) for v in side.values.field("bag").to_pylist()]) for side in (left, right))
+                    want &= alike(n[:, None], m[None, :], _common(x, y, n, m))
+                i, j = np.nonzero(want)
+                i, j = a[i], b[j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], ["a", "b"])
+
+    return run
+
+
+def _all_pairs(here: DataFrame, bags: DataFrame | None, alike) -> DataFrame:
+    """Pairs of members of a bucket, rows ``(bucket, id, label, n)``, that have different labels."""
+    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block")
+    columns = ["id", "label"]
+    if bags is not None:
+        here, columns = here.join(bags, "id"), [*columns, "size", "bag"]
+    packed = here.groupBy("bucket", block).agg(F.collect_list(F.struct(*columns)).alias("left"))
+    packed = stored(packed, "blocks")
+    other = packed.select("bucket", F.col("block").alias("with"), F.col("left").alias("right"))
+    both = packed.join(other, "bucket").where("block <= with").repartition("bucket", "block", "with")
+    both = both.select((F.col("block") == F.col("with")).alias("own"), "left", "right")
+    return both.mapInArrow(_unlike(alike), "a bigint, b bigint").distinct()
+
+
+def pivot_links(
+    signed: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None, alike: Callable | None = None
+) -> DataFrame:
     """Verified pairs ``(a, b)``, a < b, among ``signed``, rows ``(id, sketches)`` with lists of one length.
 
-    ``verify`` gets distinct pairs and returns those that are similar. Two similar
-    texts stay without a link of their own only if neither is a pivot of a bucket
-    that both are in, and one of them matched a pivot in each of these buckets, or
-    they share no narrower one; mostly the pivots' links join them all the same.
+    ``verify`` gets distinct pairs and returns those that are similar. The links
+    join what the similar pairs among all pairs with a common sketch would join.
+    ``bags`` has ``(id, size, bag)`` of every text that shares a sketch, and
+    ``alike`` tells by two sizes and the most that both can have in common if
+    ``verify`` could accept the pair.
     """
-    signed = stored(signed, "signed")
-    entries = signed.select("id", F.posexplode("sketches").alias("place", "bucket"))
-    met = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    here = stored(entries.join(met, "bucket").select("bucket", "id", "place"), "members")
-    links, checked, turn = None, None, 0
-    while True:
-        sized = here.join(here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "bucket")
-        few = F.lit(turn > 0) & (F.col("n") <= FEW)
-        # XOR with the bucket orders ids differently in each bucket, and can be undone by another.
-        mark = F.col("id").bitwiseXOR(F.col("bucket"))
-        salts = 4 ** max(0, turn - len(NARROWER))
-        many = sized.where(~few).withColumn("salt", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(salts)))
-        # The least id itself is the first pivot at first: copies in many buckets then meet in the same pairs.
-        low = F.min(mark) if turn else F.min("id").bitwiseXOR(F.first("bucket"))
-        ends = many.groupBy("bucket", "salt").agg(low.alias("low"), F.max(mark).alias("high"))
-        ends = ends.select("bucket", F.explode(F.array("low", "high")).alias("end")).distinct()
-        star = many.join(ends, "bucket").select("bucket", "id", "place", F.col("end").bitwiseXOR(F.col("bucket")).alias("pivot"))
-        if turn:
-            rest = sized.where(few).select("bucket", "id", "place")
-            other = rest.select("bucket", F.col("id").alias("pivot"))
-            star = star.unionByName(rest.join(other, "bucket").where("id <= pivot"))
-        low, high = F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")
-        star = stored(star.select("bucket", "id", "place", "pivot", low, high), "stars")
-        pairs = star.where("a <> b").select("a", "b").distinct()
+    signed = stored(signed.select("id", "sketches"), "signed")
+    entries = signed.select("id", F.explode("sketches").alias("bucket")).distinct()
+    met = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    here = stored(entries.join(met, "bucket").withColumn("label", F.col("id")), "members")
+    links, checked = None, None
+    for turn, parts in enumerate((*PARTS, None)):
+        if parts is None:
+            pairs = _all_pairs(here, bags, alike)
+        else:
+            # XOR with the bucket orders ids differently in each bucket, and can be undone by another.
+            mark = F.col("id").bitwiseXOR(F.col("bucket"))
+            many = here if not turn else here.where(F.col("n") > BLOCK)
+            many = many.withColumn("part", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(parts)))
+            # The least id itself is the first pivot at first: copies in many buckets then meet in the same pairs.
+            first, last = (F.struct(m.alias("mark"), "id", "label") for m in (mark if turn else F.col("id"), mark))
+            ends = many.groupBy("bucket", "part").agg(F.min(first).alias("low"), F.max(last).alias("high"))
+            ends = ends.select("bucket", F.explode(F.array("low", "high")).alias("end"))
+            ends = ends.select("bucket", F.col("end.id").alias("pivot"), F.col("end.label").alias("own"))
+            star = many.join(ends.distinct(), "bucket").where("label <> own")
+            pairs = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(verify(pairs), "links")
         links = found if links is None else links.unionByName(found)
+        if parts is None:
+            return links
         checked = pairs if checked is None else checked.unionByName(pairs)
-        # Settled are members that match a pivot, pivots, and the few, who meet themselves.
-        matched = star.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left")
-        hit = F.max(F.when(F.col("id") == F.col("pivot"), 1).otherwise(F.coalesce("hit", F.lit(0))))
-        here = matched.groupBy("bucket", "id", "place").agg(hit.alias("hit")).where("hit = 0").select("bucket", "id", "place")
-        if turn < len(NARROWER):
-            several = here.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-            more = [
-                F.element_at("sketches", F.pmod(F.col("place") + step, F.size("sketches")).cast("int") + 1) for step in NARROWER[turn]
-            ]
-            here = (
-                here.join(several, "bucket").join(signed, "id")
-                .select("bucket", "id", "place", F.explode(F.array(*more)).alias("more"))
-                .select(F.xxhash64("bucket", "more").alias("bucket"), "id", "place")
-                .distinct()
-            )
-        here = stored(here, "left-over")
-        turn += 1
+        # On go buckets that are not joined yet; of two members, both were compared.
+        named = components(links).withColumnRenamed("component", "joined")
+        told = here.where("n > 2").join(named, "id", "left").withColumn("label", F.coalesce("joined", "id")).drop("joined")
+        split = told.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        here = stored(told.join(split.select("bucket"), "bucket", "left_semi"), "split")
         if here.isEmpty():
             return links

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.linking import pivot_links
+from footfall.llm.linking import bag, pivot_links
 from footfall.llm.words import Words, mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
 
@@ -121,14 +121,24 @@ def _sketch(batches):
 
 
 def _tokens(batches):
-    """Words of each text as 32-bit hashes, packed."""
+    """Words of each text as 32-bit hashes, packed, and their bag."""
     for batch in batches:
         for low, high, data, bounds in pieces(batch.column("text")):
             words = split_words(data, bounds)
             hashes = (words.hashes() >> _U(32)).astype(np.uint32)
             first = words.first()
             packed = [hashes[first[i] : first[i + 1]].tobytes() for i in range(high - low)]
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(low, high - low), pa.array(packed, pa.binary())], ["id", "words"])
+            bags = [bag(hashes[first[i] : first[i + 1]]) for i in range(high - low)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(low, high - low), pa.array(packed, pa.binary()), pa.array(bags, pa.binary())], ["id", "words", "bag"]
+            )
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Edits that are needed whatever the order of the words."""
+    both, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    common = np.minimum(np.bincount(at[: len(a)], minlength=len(both)), np.bincount(at[len(a) :], minlength=len(both))).sum()
+    return max(len(a), len(b)) - int(common)
 
 
 def edits(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -169,7 +179,7 @@ def _aligned(similarity: float):
             for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
                 a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
-                keep.append(edits(a, b, most) <= most)
+                keep.append(apart(a, b) <= most and edits(a, b, most) <= most)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -193,7 +203,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     chosen = stored(members.join(met, "bucket").select("id", "doc_id").distinct(), "candidates")
     # Their texts are only shuffled where the ids are too many to be sent to every executor.
     few = F.broadcast(chosen) if chosen.count() <= SENT_IDS else chosen
-    packed = docs.join(few, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary")
+    packed = docs.join(few, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary, bag binary")
     packed = stored(packed.dropDuplicates(["id"]), "words")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -204,7 +214,12 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         both = pairs.join(left, "a").join(right, "b").where(near)
         return both.select("a", "b", "left", "right").mapInArrow(_aligned(similarity), "a bigint, b bigint")
 
-    links = stored(pivot_links(texts.select("id", "sketches"), verify), "near-links")
+    def alike(n, m, common):
+        longer = np.maximum(n, m)
+        return longer - common <= ((1 - similarity) * longer + 1e-9).astype(np.int64)
+
+    bags = packed.select("id", (F.length("words") / 4).cast("bigint").alias("size"), "bag")
+    links = stored(pivot_links(texts.select("id", "sketches"), verify, bags, alike), "near-links")
     # Rows that repeat an id tie their texts together.
     shared = rows.where("n_words > 0").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
     again = rows.where("n_words > 0").join(shared.where("a <> b"), "doc_id").select("a", F.col("id").alias("b"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.linking import pivot_links
+from footfall.llm.linking import bag, pivot_links
 from footfall.llm.nearcopies import SENT_IDS, fingerprints, kmers
 from footfall.llm.words import mix, pieces, split_words
 from footfall.sources.scratch import stored
@@ -88,21 +88,24 @@ def _signed(min_words: int):
 
 
 def _shingles(batches):
-    """Sorted shingle hashes of the wanted lines, packed."""
+    """Sorted shingle hashes of the wanted lines, packed, and their bag."""
     for batch in batches:
         for part, row, place, words in _lines(batch):
             wanted = part.column("wanted").to_pylist()
             rows, values = kmers(words, words.hashes())
             first = np.searchsorted(rows, np.arange(len(row) + 1))
             line = {(r, p): i for i, (r, p) in enumerate(zip(row.tolist(), place.tolist()))}
-            ids, packed = [], []
+            ids, packed, bags = [], [], []
             for r, own in enumerate(wanted):
                 for w in own:
                     i = line.get((r, w["para"]))
                     if i is not None:
                         ids.append(w["id"])
-                        packed.append(np.unique(values[first[i] : first[i + 1]]).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], ["id", "shingles"])
+                        own_set = np.unique(values[first[i] : first[i + 1]])
+                        packed.append(own_set.tobytes())
+                        bags.append(bag(own_set))
+            columns = [pa.array(ids, pa.int64()), pa.array(packed, pa.binary()), pa.array(bags, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "bag"])
 
 
 def _similar(similarity: float):
@@ -142,7 +145,7 @@ def repeated_paragraphs(
     wanted = chosen.groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.para")).alias("wanted"))
     # Texts are only shuffled where the places of candidates are too many to be sent to every executor.
     wanted = F.broadcast(wanted) if chosen.count() <= SENT_IDS else wanted
-    packed = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_shingles, "id bigint, shingles binary")
+    packed = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_shingles, "id bigint, shingles binary, bag binary")
     packed = stored(packed.dropDuplicates(["id"]), "shingles")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -153,7 +156,11 @@ def repeated_paragraphs(
         both = pairs.join(left, "a").join(right, "b").where(near)
         return both.select("a", "b", "left", "right").mapInArrow(_similar(similarity), "a bigint, b bigint")
 
-    named = components(pivot_links(texts, verify))
+    def alike(n, m, common):
+        return common * (1 + similarity) >= similarity * (n + m) - 1e-6
+
+    bags = packed.select("id", (F.length("shingles") / 8).cast("bigint").alias("size"), "bag")
+    named = components(pivot_links(texts, verify, bags, alike))
     told = rows.select("doc_id", "para", "id", "n_words").distinct().join(named, "id", "left")
     told = stored(told.select("doc_id", "para", "n_words", F.coalesce("component", "id").alias("cluster")), "clustered")
     cluster = told.groupBy("cluster").agg(

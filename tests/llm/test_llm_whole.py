@@ -1,0 +1,76 @@
+"""Links among all texts that share a bucket."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.llm import nearcopies
+from footfall.llm.components import components
+from footfall.llm.linking import pivot_links
+from footfall.llm.words import pieces, split_words
+
+
+def prose(n, seed):
+    rng = random.Random(seed)
+    return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+
+def edited(words, share, seed):
+    rng = random.Random(seed)
+    return [f"n{rng.randrange(10**6)}" if rng.random() < share else w for w in words]
+
+
+def joined(ids, pairs):
+    head = {i: i for i in ids}
+
+    def find(i):
+        while head[i] != i:
+            i = head[i]
+        return i
+
+    for a, b in pairs:
+        head[max(find(a), find(b))] = min(find(a), find(b))
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("alike", ["abs(x - y) <= 1", "abs(x - y) <= 9", "x div 4 = y div 4"])
+def test_links_join_all_pairs_of_a_bucket(spark, alike):
+    rng = random.Random(6)
+    place = {rng.getrandbits(63): x for x in range(500)}
+    signed = spark.createDataFrame([(i, [7, 1000 + x]) for i, x in place.items()], "id long, sketches array<long>")
+    x, y = (spark.createDataFrame([(i, n) for i, n in place.items()], f"{c} long, {v} int") for c, v in (("a", "x"), ("b", "y")))
+    links = pivot_links(signed, lambda pairs: pairs.join(x, "a").join(y, "b").where(alike).select("a", "b"))
+    got = {r.id: r.component for r in components(links).collect()}
+    near = {"abs(x - y) <= 1": 1, "abs(x - y) <= 9": 9}.get(alike)
+    at = {x: i for i, x in place.items()}
+    every = [(at[x], at[y]) for x in range(500) for y in range(x) if (x - y <= near if near else x // 4 == y // 4)]
+    assert got == joined(place, every)
+
+
+def test_variants_of_one_text_and_families_with_one_passage(spark):
+    base, passage = prose(60, 1), prose(120, 2)
+    rows = [(k, " ".join(edited(base, 0.13, 10 + k))) for k in range(300)]
+    rows += [(1000 + k, " ".join(passage + edited(prose(80, 500 + k // 3), 0.05, 900 + k))) for k in range(240)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t for _, t in rows])})
+    buckets, n = defaultdict(list), 0
+    for low, high, data, bounds in pieces(batch.column("text")):
+        words = split_words(data, bounds)
+        for own in nearcopies.sketches(*nearcopies.kmers(words, words.hashes()), high - low):
+            for s in set(own.tolist()):
+                buckets[s].append(n)
+            n += 1
+    code: dict[str, int] = {}
+    packed = [np.array([code.setdefault(w, len(code)) for w in t.split()], np.uint32) for _, t in rows]
+    pairs = {(a, b) for members in buckets.values() for k, b in enumerate(members) for a in members[:k]}
+    near = []
+    for a, b in pairs:
+        most = int(0.2 * max(len(packed[a]), len(packed[b])) + 1e-9)
+        if nearcopies.edits(packed[a], packed[b], most) <= most:
+            near.append((rows[a][0], rows[b][0]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nearcopies.near_classes(docs).select("doc_id", F.col("class_id")).collect()
+    assert {r.doc_id: r.class_id for r in got} == joined([i for i, _ in rows], near)
