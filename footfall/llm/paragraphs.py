@@ -1,14 +1,16 @@
 """Near-identical paragraphs of different documents, by banded MinHash.
 
-A paragraph is a line of a text; those of fewer than 20 words are not compared.
+A paragraph is a line of a text; those of fewer than ``min_words`` words are not
+compared. The query compares every line with a word.
 Its shingles are five consecutive words, lower-cased in ASCII. Equal paragraphs
-are one; the others are signed with twelve bands of two minima each, which at a
+are one, and shorter ones than a shingle are similar to equal ones only; the
+others are signed with twelve bands of two minima each, which at a
 similarity of 0.8 misses five pairs in a million. Paragraphs that meet in a
 band are joined through pivots, verified by the exact Jaccard similarity of
 their shingle sets, and clustered by connected components. Of each cluster the
 first paragraph, by document and place, stays.
 
-Edge cases: null, empty and short paragraphs are left alone; a cluster within
+Edge cases: null, empty and shorter paragraphs are left alone; a cluster within
 one document is no repeat, unless ``across`` is off; rows with a null id are
 left alone; rows that repeat an id are one document, and equal paragraphs in the
 same place of it are one; other columns are ignored; no documents give no rows.
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.components import components
 from footfall.llm.linking import bag, pivot_links
-from footfall.llm.nearcopies import SENT_IDS, fingerprints, kmers
+from footfall.llm.nearcopies import SENT_IDS, K, fingerprints, kmers
 from footfall.llm.words import mix, pieces, split_words
 from footfall.sources.scratch import stored
 
@@ -133,7 +135,8 @@ def repeated_paragraphs(
     kind = docs.schema["doc_id"].dataType.simpleString()
     fields = f"doc_id {kind}, para int, id bigint, n_words int, " + ", ".join(f"b{b} bigint" for b in range(BANDS))
     rows = stored(docs.mapInArrow(_signed(min_words), fields), "paragraphs")
-    texts = rows.groupBy("id").agg(*(F.first(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
+    # Lines shorter than a shingle are one, and meet their equals by id.
+    texts = rows.where(F.col("n_words") >= K).groupBy("id").agg(*(F.first(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
     texts = stored(texts.select("id", F.array(*(f"b{b}" for b in range(BANDS))).alias("sketches")), "signed")
     members = texts.select("id", F.explode("sketches").alias("bucket"))
     met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from footfall.llm import nearcopies
 from footfall.llm.components import components
 from footfall.llm.linking import pivot_links
+from footfall.llm.queries import QUERIES
 from footfall.llm.words import pieces, split_words
 
 
@@ -74,3 +75,15 @@ def test_variants_of_one_text_and_families_with_one_passage(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = nearcopies.near_classes(docs).select("doc_id", F.col("class_id")).collect()
     assert {r.doc_id: r.class_id for r in got} == joined([i for i, _ in rows], near)
+
+
+def test_short_paragraphs_are_compared(spark, tmp_path):
+    eleven = " ".join(prose(11, 3))
+    rows = [(1, f"Share this\none\n{eleven} end"), (2, f"x x x x x\nshare  this\n{eleven}"), (3, "x x x x x x\nalone here\n\n \nOne")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op2_paragraph_dedup"](spark, str(tmp_path)).collect()
+    assert {((r.doc_id, r.para), (r.first_doc, r.first_para)) for r in got} == {
+        ((1, 0), (1, 0)), ((2, 1), (1, 0)), ((1, 1), (1, 1)), ((3, 4), (1, 1)),
+        ((1, 2), (1, 2)), ((2, 2), (1, 2)), ((2, 0), (2, 0)), ((3, 0), (2, 0)),
+    }
+    assert len(got) == 8
