@@ -121,17 +121,19 @@ def _sketch(batches):
 
 
 def _tokens(batches):
-    """Words of each text as 32-bit hashes, packed, and their bag."""
+    """Words of each text as 32-bit hashes, packed, and their bag; rows whose text is not the one of the id go."""
     for batch in batches:
         for low, high, data, bounds in pieces(batch.column("text")):
             words = split_words(data, bounds)
-            hashes = (words.hashes() >> _U(32)).astype(np.uint32)
+            hashes = words.hashes()
+            own = pa.array(fingerprints(words, hashes).view(np.int64) == batch.column("id").slice(low, high - low).to_numpy())
+            hashes = (hashes >> _U(32)).astype(np.uint32)
             first = words.first()
             packed = [hashes[first[i] : first[i + 1]].tobytes() for i in range(high - low)]
             bags = [bag(hashes[first[i] : first[i + 1]]) for i in range(high - low)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").slice(low, high - low), pa.array(packed, pa.binary()), pa.array(bags, pa.binary())], ["id", "words", "bag"]
-            )
+            ).filter(own)
 
 
 def apart(a: np.ndarray, b: np.ndarray) -> int:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from footfall.llm.components import components
 from footfall.llm.linking import bag, pivot_links
 from footfall.llm.nearcopies import SENT_IDS, K, fingerprints, kmers
-from footfall.llm.words import mix, pieces, split_words
+from footfall.llm.words import mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
 
 MIN_WORDS = 20
@@ -89,19 +89,25 @@ def _signed(min_words: int):
     return run
 
 
+def _is(hashes: np.ndarray, id_: int) -> bool:
+    """Whether a line with these words has the fingerprint."""
+    return len(hashes) > 0 and int((runs(hashes, len(hashes))[:1] | _U(1)).view(np.int64)[0]) == id_
+
+
 def _shingles(batches):
-    """Sorted shingle hashes of the wanted lines, packed, and their bag."""
+    """Sorted shingle hashes of the wanted lines, packed, and their bag; lines of another text of the document go."""
     for batch in batches:
         for part, row, place, words in _lines(batch):
             wanted = part.column("wanted").to_pylist()
-            rows, values = kmers(words, words.hashes())
+            hashes, at = words.hashes(), words.first()
+            rows, values = kmers(words, hashes)
             first = np.searchsorted(rows, np.arange(len(row) + 1))
             line = {(r, p): i for i, (r, p) in enumerate(zip(row.tolist(), place.tolist()))}
             ids, packed, bags = [], [], []
             for r, own in enumerate(wanted):
                 for w in own:
                     i = line.get((r, w["para"]))
-                    if i is not None:
+                    if i is not None and _is(hashes[at[i] : at[i + 1]], w["id"]):
                         ids.append(w["id"])
                         own_set = np.unique(values[first[i] : first[i + 1]])
                         packed.append(own_set.tobytes())

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.llm import nearcopies
+from footfall.llm import nearcopies, paragraphs
 from footfall.llm.components import components
 from footfall.llm.linking import pivot_links
 from footfall.llm.queries import QUERIES
@@ -87,3 +87,15 @@ def test_short_paragraphs_are_compared(spark, tmp_path):
         ((1, 2), (1, 2)), ((2, 2), (1, 2)), ((2, 0), (2, 0)), ((3, 0), (2, 0)),
     }
     assert len(got) == 8
+
+
+def test_each_text_of_a_repeated_id_is_verified_by_its_own_words(spark):
+    texts = [prose(60, 70 + k) for k in range(8)]
+    rows = [(1, " ".join(t)) for t in texts] + [(10 + k, " ".join([*t[:-1], "changed"])) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    links = defaultdict(list)
+    for r in nearcopies.near_classes(docs).collect():
+        links[r.doc_id].append((r.class_id, r.n_links))
+    assert links == {1: [(1, 1)] * 8, **{10 + k: [(1, 1)] for k in range(8)}}
+    found = {(r.doc_id, r.para) for r in paragraphs.repeated_paragraphs(docs).collect()}
+    assert found == {(1, 0), *((10 + k, 0) for k in range(8))}
