@@ -23,6 +23,7 @@ from footfall.operators.detail import dedupe_consecutive, visit_detail
 from footfall.operators.groups import arrival_groups, group_sizes
 from footfall.operators.heatmap import path_heatmap
 from footfall.operators.ordered import gap_groups, top_rows
+from footfall.operators.prefix import bursts, numbered, positions, running_totals
 from footfall.operators.returning import new_or_return
 from footfall.operators.stay import stay_time, stay_time_segments
 from footfall.operators.visitation import hour_slices, hourly_visitation, hourly_visitors
@@ -266,6 +267,28 @@ def q_shipping_bursts(spark, sf_dir):
     return gap_groups(shipped, ["l_suppkey"], gap_s=5 * 86400)
 
 
+@query
+def q_event_bursts(spark, sf_dir):
+    """Bursts per event type: few keys without a date, each with a large share of all rows."""
+    return bursts(table(spark, sf_dir, "events"), ["event_type"], "ts", gap_s=1500)
+
+
+@query
+def q_running_shipments(spark, sf_dir):
+    """Lines and pieces shipped so far per line status, by date and order."""
+    lines = table(spark, sf_dir, "lineitem").select("l_linestatus", F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_quantity")
+    totals = {"lines": F.lit(1).cast("long"), "pieces": F.col("l_quantity").cast("long")}
+    return running_totals(lines, ["l_linestatus"], ["day", "l_orderkey"], totals)
+
+
+@query
+def q_order_numbers(spark, sf_dir):
+    """Orders numbered from the dearest, over all and per status."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    dearest = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    return positions(numbered(orders, dearest), ["o_orderstatus"], dearest)
+
+
 @query
 def q_nearest_price(spark, sf_dir):
     """The supplier whose price is closest to a part's list price, with a rule for ties."""
