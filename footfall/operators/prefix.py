@@ -57,17 +57,21 @@ def positions(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     return found.select(*_columns(rows), (F.col(name) + F.coalesce(BEFORE + "rows", F.lit(0))).alias(name))
 
 
-def running_totals(rows: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, Column]) -> DataFrame:
+def running_totals(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], totals: dict[str, Column],
+    combine: Callable = F.sum, both: Callable = Column.__add__,
+) -> DataFrame:
     """Sums of ``totals`` up to each value of ``order`` per key; rows that tie share them.
 
     One row per distinct (keys, order). A null adds nothing; a sum is null until
-    there was a value.
+    there was a value. Instead of a sum it can be another aggregate ``combine``, where
+    ``both`` makes that of two sets of rows out of theirs.
     """
-    sums = [F.sum(value).alias(name) for name, value in totals.items()]
+    sums = [combine(value).alias(name) for name, value in totals.items()]
     placed = dealt(rows.groupBy(*keys, *order).agg(*sums), [*keys, *order])
-    within = placed.withColumns({name: F.sum(name).over(_so_far(keys)) for name in totals})
-    found = _with_earlier(within, placed, keys, {name: F.sum(name) for name in totals})
-    both = [F.coalesce(F.col(name) + F.col(BEFORE + name), name, BEFORE + name).alias(name) for name in totals]
+    within = placed.withColumns({name: combine(name).over(_so_far(keys)) for name in totals})
+    found = _with_earlier(within, placed, keys, {name: combine(name) for name in totals}, combine)
+    both = [F.coalesce(both(F.col(name), F.col(BEFORE + name)), name, BEFORE + name).alias(name) for name in totals]
     return found.select(*keys, *order, *both)
 
 
