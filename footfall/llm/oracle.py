@@ -64,3 +64,29 @@ degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
 FROM embeddings AS e JOIN named ON named.id = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
 """
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, w[i : i + k - 1] AS ws, count(*) AS f
+  FROM words, unnest(range(1, 6)) AS s(k), unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS t(i)
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT g.lang, g.k, g.ws, g.f AS a, l.f AS l, r.f AS r, n, j, CAST(1000 AS HUGEINT) * g.f * n // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM grams AS g JOIN total USING (lang), unnest(range(1, g.k)) AS t(j)
+  JOIN grams AS l ON l.lang = g.lang AND l.ws = g.ws[1 : j]
+  JOIN grams AS r ON r.lang = g.lang AND r.ws = g.ws[j + 1 : g.k]),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, j) = 1),
+kept AS (
+  SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM least AS g
+  WHERE NOT EXISTS (
+    SELECT 1 FROM grams AS h WHERE h.lang = g.lang AND h.k > g.k AND 100 * h.f >= 100 * g.a
+    AND contains(' ' || array_to_string(h.ws, ' ') || ' ', ' ' || array_to_string(g.ws, ' ') || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""

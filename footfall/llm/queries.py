@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, decontaminate, langid, mixing, nearcopies, pages, paragraphs, quality, repeats, vectors
+from footfall.llm import chat, collocations, decontaminate, langid, mixing, nearcopies, pages, paragraphs, quality, repeats, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -107,3 +107,8 @@ def op8_main_text(spark, sf_dir):
 @query
 def op9_vector_dedup(spark, sf_dir):
     return vectors.vector_links(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
