@@ -90,3 +90,51 @@ kept AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM kept QUALIFY rank <= 2000
 """
+
+# DuckDB has no CRC-32: its table of 256 entries comes from the polynomial, then one step a character.
+ORACLE["op12_prefix_trie"] = """
+WITH RECURSIVE bits AS (
+  SELECT i, i AS c, 0 AS step FROM range(256) AS t(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+codes AS (SELECT i, c FROM bits WHERE step = 8),
+rows AS (
+  SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(t ORDER BY place) AS ts FROM rows GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS pos, CAST(4294967295 AS BIGINT) AS c FROM own
+  UNION ALL SELECT conv_id, s, pos + 1, xor(codes.c, crc.c >> 8)
+  FROM crc JOIN codes ON codes.i = xor(crc.c & 255, ascii(s[pos + 1])) WHERE pos < length(s)),
+plans AS (SELECT conv_id, xor(c, 4294967295) % 4 AS h FROM crc WHERE pos = length(s)),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.ts[1 : h], []), o.ts[h + 1 :]) AS ts
+  FROM own AS o JOIN plans USING (conv_id) LEFT JOIN own AS b ON b.conv_id = o.conv_id - o.conv_id % 20),
+prefixes AS (SELECT conv_id, ts, d, ts[1 : d] AS p FROM rebuilt, unnest(range(CAST(len(ts) + 1 AS BIGINT))) AS t(d)),
+nodes AS (
+  SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(ts) = d), '')) AS ends_sha256,
+         (count(*) - 1) * len(regexp_extract_all(coalesce(p[d].text, ''), '[^\\x20\\x09-\\x0D]+')) AS worth
+  FROM prefixes GROUP BY p, d),
+children AS (SELECT p[1 : d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+told AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (p, d)),
+subtrees AS (
+  SELECT a.p, a.d, sum(b.worth) AS saved, count(*) FILTER (b.n_children = 0) AS n_leaves
+  FROM (SELECT p, d, n_children, worth, unnest(range(d + 1)) AS u FROM told) AS b
+  JOIN told AS a ON a.d = b.u AND a.p = b.p[1 : b.u] GROUP BY a.p, a.d)
+SELECT t.conv_id, t.d AS depth, up.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, t.ends_sha256
+FROM told AS t JOIN subtrees AS s ON s.p = t.p AND s.d = t.d LEFT JOIN told AS up ON t.d > 0 AND up.d = t.d - 1 AND up.p = t.p[1 : t.d - 1]
+"""
+
+ORACLE["op13_top_k"] = """
+WITH fit AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.row AS query, q.vec_id AS query_id, c.vec_id, c.row, CAST(CASE WHEN len(q.v) = 0 THEN 0 ELSE list_dot_product(q.v, c.v) END AS BIGINT) AS score
+  FROM fit AS q JOIN fit AS c ON q.row <> c.row AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import chat, collocations, decontaminate, langid, mixing, nearcopies, pages, paragraphs, quality, repeats, vectors
+from footfall.llm import chat, collocations, decontaminate, langid, mixing, nearcopies, pages, paragraphs, prefixes, quality, repeats, topk, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +112,13 @@ def op9_vector_dedup(spark, sf_dir):
 @query
 def op11_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
