@@ -41,7 +41,7 @@ TOP = 2000
 #: A phrase goes if a longer one has this share of its occurrences, in percent.
 ABSORB = 100
 #: Words of a chunk about, and bytes of a text split at once.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 SLICE = 4 << 20
 #: Side of a tile in ids, tiles along a side that are addressed directly, and pairs that make a tile dense.
 TILE, HEAD, DENSE = 256, 64, 256 * 256 // 8
