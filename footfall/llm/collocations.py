@@ -1,16 +1,17 @@
 """Phrases whose words stand together more often than chance, by direct-address tiles.
 
 Texts are cut into chunks of words once. Words that are frequent enough to be part
-of a result get ids by frequency, so that common words are neighbours. Of each chunk
-the pairs of adjacent ids are counted in tiles: pairs of common words fall into few
+of a result are ranked by frequency, so that common words are neighbours. Of each chunk
+the pairs of adjacent ranks are counted in tiles: pairs of common words fall into few
 tiles, which are counted by direct address with a dense array; the others become
 sorted coordinates. Counts of all chunks are added in Spark. Pairs that are frequent
-get ids by frequency again and take the place of words: a pair of adjacent pairs is a
+are ranked by frequency again and take the place of words: a pair of adjacent pairs is a
 phrase of three words, and so on. A part of a frequent phrase is frequent, so nothing
 is lost on the way.
 
-Neither the vocabulary nor the pairs pass through the driver or are broadcast: each
-chunk meets the ids of its own words and pairs, as a group of bounded size.
+Neither the vocabulary nor the pairs pass through the driver or are broadcast. Counts of
+a chunk are shuffled once by word or phrase, where those too rare are dropped, and once back
+to their chunk, which ranks its own by their counts in all: a group of bounded size.
 
 Edge cases: a null text is empty, a null language is ``und``; rows without a word add
 nothing; repeated rows count each; ids and other columns are not read. A piece of text
@@ -26,13 +27,12 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from footfall.llm.frames import map_rows
-from footfall.operators.prefix import numbered
 from footfall.sources.scratch import stored
 
 MOST_WORDS = 5
@@ -143,29 +143,28 @@ def _cut(batches):
 
 
 def count_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of adjacent ids with their counts; a negative number is no id."""
-    known, rank = np.unique(ids, return_inverse=True)
+    """Pairs of adjacent ids, ranks by frequency, with their counts; a negative number is no id."""
     ok = (ids[:-1] >= 0) & (ids[1:] >= 0)
-    a, b = rank[:-1][ok], rank[1:][ok]
-    low = int(np.searchsorted(known, 0))  # ranks are by frequency too, after the negative numbers
-    near = (a - low < TILE * HEAD) & (b - low < TILE * HEAD)
-    tile = (((a - low) // TILE) * HEAD + (b - low) // TILE)
+    a, b = ids[:-1][ok], ids[1:][ok]
+    side = int(b.max(initial=0)) + 1
+    near = (a < TILE * HEAD) & (b < TILE * HEAD)
+    tile = a // TILE * HEAD + b // TILE
     sizes = np.bincount(tile[near], minlength=HEAD * HEAD)
     dense = near.copy()
     dense[near] = sizes[tile[near]] >= DENSE
     # Sparse tiles: sorted coordinates.
-    keys, n = np.unique(a[~dense] * len(known) + b[~dense], return_counts=True)
-    found = [(keys // max(len(known), 1), keys % max(len(known), 1), n)]
+    keys, n = np.unique(a[~dense] * side + b[~dense], return_counts=True)
+    found = [(keys // side, keys % side, n)]
     # Dense tiles: one array each, addressed by both ids.
     a, b, tile = a[dense], b[dense], tile[dense].astype(np.uint16)
     order = np.argsort(tile, kind="stable")
     for part in np.split(order, np.flatnonzero(np.diff(tile[order])) + 1) if len(order) else []:
-        left, right = (int(v[part[0]] - low) // TILE * TILE + low for v in (a, b))
+        left, right = (int(v[part[0]]) // TILE * TILE for v in (a, b))
         cells = np.bincount((a[part] - left) * TILE + (b[part] - right), minlength=TILE * TILE)
         at = np.flatnonzero(cells)
         found.append((at // TILE + left, at % TILE + right, cells[at]))
     a, b, n = (np.concatenate(x) for x in zip(*found))
-    return known[a], known[b], n
+    return a, b, n
 
 
 def _squeezed(ids: np.ndarray) -> np.ndarray:
@@ -175,54 +174,67 @@ def _squeezed(ids: np.ndarray) -> np.ndarray:
     return ids[keep]
 
 
-def _packed(chunk: int, ids: np.ndarray) -> pa.Table:
-    """One row with the ids of a chunk, and one for each pair in it."""
-    ids = _squeezed(ids)
-    a, b, n = count_pairs(ids)
-    if not len(n):
-        return pa.table({k: pa.array([], t) for k, t in zip(("chunk", "ids", "a", "b", "n"), (pa.int64(), pa.binary(), *[pa.int64()] * 3))})
-    ids = ids.astype(np.int32 if ids.max() < 1 << 31 else np.int64)
-    none = np.zeros(1, np.int64)
-    return pa.table({
-        "chunk": pa.array(np.full(len(n) + 1, chunk)),
-        "ids": pa.array([ids.tobytes(), *[None] * len(n)], pa.binary()),
-        "a": pa.array(np.concatenate([none + ids.itemsize, a])),  # beside the ids: bytes of each
-        "b": pa.array(np.concatenate([none, b])),
-        "n": pa.array(np.concatenate([none, n])),
-    })
+def _packed(chunk: int, codes: np.ndarray, names: np.ndarray) -> pa.Table:
+    """One row with a chunk of ``codes``, which number the rows of ``names``, and one for each pair in it."""
+    codes = _squeezed(codes)
+    a, b, n = count_pairs(codes)
+    words = np.column_stack([names[a], names[b, -1]]) if len(n) else np.zeros((0, names.shape[1] + 1), np.int64)
+    first = 1 if len(n) else 0  # a chunk without pairs is done
+    none = np.zeros(first, np.int64)
+    made = {"chunk": np.full(len(n) + first, chunk), "codes": pa.array([codes.astype(np.int32).tobytes()][:first] + [None] * len(n), pa.binary())}
+    made |= {"a": np.concatenate([none, a]).astype(np.int32), "b": np.concatenate([none, b]).astype(np.int32)}
+    made |= {f"w{i}": np.concatenate([none, words[:, i]]) for i in range(words.shape[1])}
+    return pa.table(made | {"n": np.concatenate([none, n])})
 
 
-_PACKED = "chunk bigint, ids binary, a bigint, b bigint, n bigint"
+def _ranked(known: pa.Table, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids in ``columns``, most frequent first, and the order that brings them there."""
+    names = np.column_stack([known[c].to_numpy() for c in columns]).astype(np.int64)
+    order = np.lexsort([*names.T[::-1], -known["total"].to_numpy()])
+    return names[order], order
 
 
 def _words_to_ids(chunk: pa.Table, known: pa.Table) -> pa.Table:
     codes = np.frombuffer(chunk["codes"][0].as_py(), np.int32)
-    ids = np.full(max(int(codes.max(initial=0)), 0) + 2, -1, np.int64)
-    ids[known["at"].to_numpy()] = known["id"].to_numpy()
-    return _packed(chunk["chunk"][0].as_py(), ids[codes])  # the last stands for ends
-
-
-def _pairs_to_ids(chunk: pa.Table, known: pa.Table) -> pa.Table:
-    width = chunk["width"][0].as_py()
-    old = np.frombuffer(chunk["ids"][0].as_py(), np.int32 if width == 4 else np.int64).astype(np.int64)
-    if not len(known):
-        return _packed(0, old[:0])
-    names, rank = np.unique(old, return_inverse=True)
-    a, b, new = (known[c].to_numpy() for c in ("a", "b", "id"))
-    keys = np.searchsorted(names, a) * len(names) + np.searchsorted(names, b)
-    order = np.argsort(keys)
-    keys, new = keys[order], new[order]
-    here = rank[:-1] * len(names) + rank[1:]
-    at = np.minimum(np.searchsorted(keys, here), len(keys) - 1)
-    return _packed(chunk["chunk"][0].as_py(), np.where(keys[at] == here, new[at], -1))
-
-
-def _met(chunks: DataFrame, known: DataFrame, run, name: str) -> tuple[DataFrame, DataFrame]:
-    """Each chunk with the ids of what is in it: new chunks, and the counts of pairs in each."""
-    made = chunks.groupBy("chunk").cogroup(known.withColumnRenamed("chunk", "of").groupBy("of")).applyInArrow(run, _PACKED)
-    made = stored(made, name)
-    ids = made.where("ids IS NOT NULL").select("chunk", "ids", F.col("a").alias("width"))
-    return ids, made.where("ids IS NULL").select("chunk", "a", "b", "n")
+    names, order = _ranked(known, ["w0"])
+    new = np.full(max(int(codes.max(initial=0)), 0) + 2, -1, np.int64)
+    new[known["at"].to_numpy()[order]] = np.arange(len(order))
+    return _packed(chunk["chunk"][0].as_py(), new[codes], names)  # the last stands for ends
+
+
+def _pairs_to_ids(words: int):
+    def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
+        names, order = _ranked(known, [f"w{i}" for i in range(words)])
+        if not len(names):
+            return _packed(0, np.zeros(0, np.int64), names)
+        old = np.frombuffer(chunk["codes"][0].as_py(), np.int32).astype(np.int64)
+        side = int(old.max()) + 2
+        keys = known["a"].to_numpy().astype(np.int64) * side + known["b"].to_numpy()
+        by_key = np.argsort(keys)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        here = np.where((old[:-1] >= 0) & (old[1:] >= 0), old[:-1] * side + old[1:], -1)
+        at = np.minimum(np.searchsorted(keys[by_key], here), len(keys) - 1)
+        new = np.where(keys[by_key][at] == here, rank[by_key][at], -1)
+        return _packed(chunk["chunk"][0].as_py(), new, names)
+
+    return run
+
+
+def _met(chunks: DataFrame, known: DataFrame, run, words: int) -> tuple[DataFrame, DataFrame]:
+    """Chunks with the frequent phrases of one word less in them: new chunks, and counts of phrases of ``words`` in each."""
+    ids = [f"w{i}" for i in range(words)]
+    schema = ", ".join(["chunk bigint", "codes binary", "a int", "b int", *(f"{w} bigint" for w in ids), "n bigint"])
+    made = chunks.groupBy("chunk").cogroup(known.withColumnRenamed("chunk", "of").groupBy("of")).applyInArrow(run, schema)
+    made = stored(made, "pairs")
+    return made.where("codes IS NOT NULL").select("chunk", "codes"), made.where("codes IS NULL").drop("codes")
+
+
+def _frequent(rows: DataFrame, keys: list[str], least: int, **more: Column) -> DataFrame:
+    """Rows of ``(keys, n)`` by chunk where a key has ``least`` in all: at most one row a chunk for each key."""
+    same = Window.partitionBy(*keys)
+    found = rows.withColumns({"total": F.sum("n").over(same)} | {name: value.over(same) for name, value in more.items()})
+    return stored(found.where(F.col("total") >= least).drop("n"), "frequent")
 
 
 def phrases(
@@ -230,33 +242,34 @@ def phrases(
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Words per language ``(lang, n)``, and for 1, 2, .. words the phrases that occur ``least`` times.
 
-    Phrases have ``id, lang, phrase, last`` (word) and their counts: ``first`` of the
-    first 1, 2, .. words and ``rest`` of the last 1, 2, .. words; from two words on also
-    the ids ``p`` and ``q`` of the phrases without the last and without the first word.
+    Phrases have the ids ``words``, ``lang``, ``phrase``, ``last`` (word) and their counts: ``first``
+    of the first 1, 2, .. words and ``rest`` of the last 1, 2, .. words.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     chunks = stored(map_rows(rows, _cut, _CHUNKS), "chunks")
     entries = chunks.select("chunk", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "x"))
     entries = entries.select("chunk", "at", "x.lang", "x.word", "x.n")
-    counts = stored(entries.groupBy("lang", "word").agg(F.sum("n").alias("n")), "vocabulary")
-    total = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = numbered(counts.where(F.col("n") >= least), [F.col("n").desc(), "lang", "word"], "id")
-    words = words.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("n").alias("first"), F.array("n").alias("rest"))
+    total = entries.groupBy("lang").agg(F.sum("n").alias("n"))
+    # A word is named after its first row: a number that follows from the stored chunks.
+    known = _frequent(entries.withColumn("row", F.monotonically_increasing_id()), ["lang", "word"], least, w0=F.min("row"))
+    words = known.groupBy("w0").agg(*(F.first(c).alias(c) for c in ("lang", "word", "total")))
+    words = words.select(F.array("w0").alias("words"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("total").alias("first"), F.array("total").alias("rest"))
     found = [stored(words, "words")]
-    at = entries.join(found[0].select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"]).select("chunk", "at", "id")
-    ids, pairs = _met(chunks.select("chunk", "codes"), at, _words_to_ids, "pairs")
+    codes, pairs = _met(chunks.select("chunk", "codes"), known.select("chunk", "at", "w0", "total"), _words_to_ids, 2)
     for k in range(2, most_words + 1):
-        counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        p = found[-1].select(F.col("id").alias("a"), "lang", "phrase", "first")
-        q = found[-1].select(F.col("id").alias("b"), "last", "rest")
-        grown = stored(counts.join(p, "a").join(q, "b"), "phrases").select(
-            "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last", F.concat("first", F.array("n")).alias("first"),
-            F.concat("rest", F.array("n")).alias("rest"), F.col("a").alias("p"), F.col("b").alias("q"), "n",
+        ids = [f"w{i}" for i in range(k)]
+        known = _frequent(pairs, ids, least)
+        counts = known.groupBy(*ids).agg(F.max("total").alias("total")).select(F.array(ids).alias("words"), "total")
+        p = found[-1].select(F.col("words").alias("p"), "lang", "phrase", "first")
+        q = found[-1].select(F.col("words").alias("q"), "last", "rest")
+        counts = counts.withColumns({"p": F.slice("words", 1, k - 1), "q": F.slice("words", 2, k - 1)})
+        grown = counts.join(p, "p").join(q, "q").select(
+            "words", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last",
+            F.concat("first", F.array("total")).alias("first"), F.concat("rest", F.array("total")).alias("rest"),
         )
-        found.append(stored(numbered(grown, [F.col("n").desc(), "lang", "phrase"], "id").drop("n"), "phrases"))
+        found.append(stored(grown, "phrases"))
         if k < most_words:
-            at = pairs.join(found[-1].select(F.col("p").alias("a"), F.col("q").alias("b"), "id"), ["a", "b"])
-            ids, pairs = _met(ids, at.select("chunk", "a", "b", "id"), _pairs_to_ids, "pairs")
+            codes, pairs = _met(codes, known, _pairs_to_ids(k), k + 1)
     return total, found
 
 
@@ -276,9 +289,9 @@ def collocations(
     for here, longer in zip(found[1:], [*found[2:], None]):
         here = here.withColumn("a", F.element_at("first", -1))
         if longer is not None:
-            inside = [longer.select(F.col(c).alias("id"), F.element_at("first", -1).alias("f")) for c in ("p", "q")]
-            most = inside[0].unionByName(inside[1]).groupBy("id").agg(F.max("f").alias("f"))
-            here = here.join(most, "id", "left").where(~F.coalesce(100 * F.col("f") >= absorb * F.col("a"), F.lit(False)))
+            inside = F.explode(F.array(F.expr("slice(words, 1, size(words) - 1)"), F.expr("slice(words, 2, size(words) - 1)")))
+            most = longer.select(inside.alias("words"), F.element_at("first", -1).alias("f")).groupBy("words").agg(F.max("f").alias("f"))
+            here = here.join(most, "words", "left").where(~F.coalesce(100 * F.col("f") >= absorb * F.col("a"), F.lit(False)))
         kept.append(here.select("lang", "phrase", "a", "first", "rest"))
     rows = kept[0]
     for more in kept[1:]:
