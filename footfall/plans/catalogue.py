@@ -28,7 +28,7 @@ from footfall.operators.returning import new_or_return
 from footfall.operators.stay import stay_time, stay_time_segments
 from footfall.operators.visitation import hour_slices, hourly_visitation, hourly_visitors
 from footfall.plans.refresh import Settings, refresh
-from footfall.sources import csv_files, tables
+from footfall.sources import csv_files, ledger, tables
 from footfall.sources.captures import captures_from_events, on_dates
 from footfall.sources.scratch import scratch_path, stored
 from footfall.streaming import events as feed
@@ -371,6 +371,23 @@ def q_csv_folder(spark, sf_dir):
     return out.unionByName(more, allowMissingColumns=True).unionByName(rest, allowMissingColumns=True)
 
 
+@query
+def q_resumed_load(spark, sf_dir):
+    """Orders loaded from a folder that gets more files; a load in between is cut short after its rows were written."""
+    folder, database = scratch_path(spark, "csv"), _database(spark, "resume")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    add = lambda some: orders.where(some).write.mode("append").option("header", True).csv(f"{folder}/orders.csv")
+    add("o_custkey % 3 = 0")
+    ledger.load_new(spark, folder, database)
+    add("o_custkey % 3 = 1")
+    cut = ledger.begin(spark, f"{folder}/orders.csv", f"{database}.orders", f"{database}.{ledger.LEDGER}")
+    ledger.write(spark, cut)
+    add("o_custkey % 3 = 2")
+    ledger.load_new(spark, folder, database)
+    ledger.load_new(spark, folder, database)
+    return spark.table(f"{database}.orders").drop(ledger.LOAD)
+
+
 @query
 def q_replaced_dates(spark, sf_dir):
     """All events stored by date, then odd dates replaced by their clicks alone."""

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BAD_ROW = "_corrupt_record"
+#: File, first byte of the split, and number of the row in the scan.
+PROVENANCE = ("_file", "_split", "_row")
+SCHEME = "^[a-zA-Z0-9]+:(//[^/]*)?"
 
 
 def clean_name(name: str) -> str:
@@ -51,14 +54,32 @@ def read_csv(
     what could be read of it, and its text is in ``_corrupt_record``. Files with line
     breaks inside quotes need ``multi_line``, which reads each file in one task.
     """
+    found = read_parts(spark, _files(spark, path), stringify_floats, sampling_ratio, schema, keep_bad_rows, multi_line)
+    return found.drop(*PROVENANCE)
+
+
+def read_parts(
+    spark: SparkSession,
+    parts: Sequence[str],
+    stringify_floats: bool = False,
+    sampling_ratio: float = 1.0,
+    schema: T.StructType | None = None,
+    keep_bad_rows: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
+    """The rows of some files as ``read_csv`` gives them, each with its file, split and number in the scan.
+
+    Numbers grow along a split. They hold for one run of the scan: store the rows
+    before using them twice.
+    """
     lines = spark.read.option("header", True).option("multiLine", multi_line)
     orders: dict[tuple[str, ...], list[str]] = {}
-    for part in _files(spark, path):
+    for part in parts:
         header = tuple(lines.csv(part).columns)
         if header:  # an empty file has none
             orders.setdefault(header, []).append(part)
     if not orders:
-        raise ValueError(f"{path} holds no CSV with a header")
+        raise ValueError(f"no CSV with a header among {list(parts)[:3]}")
     first = next(iter(orders))
     for other, parts in orders.items():
         if sorted(other) != sorted(first):
@@ -74,17 +95,31 @@ def read_csv(
         reader = reader.option("mode", "FAILFAST")
     extra = [T.StructField(BAD_ROW, T.StringType())] if keep_bad_rows else []
     frames = [
-        reader.schema(T.StructType([*(schema[c] for c in header), *extra])).csv(parts) for header, parts in orders.items()
+        _with_origin(reader.schema(T.StructType([*(schema[c] for c in header), *extra])).csv(some))
+        for header, some in orders.items()
     ]
     raw = clean_names(reduce(DataFrame.unionByName, frames))
     return raw.select(
         *[
-            F.col(f.name) if f.name == BAD_ROW else _mapped(f, stringify_floats).alias(f.name)
+            F.col(f.name) if f.name in (BAD_ROW, *PROVENANCE) else _mapped(f, stringify_floats).alias(f.name)
             for f in raw.schema.fields
         ]
     )
 
 
+def _with_origin(rows: DataFrame) -> DataFrame:
+    """Add ``PROVENANCE``. Spark gives the file as a URL, in which a plus sign is itself."""
+    url = F.col("_metadata.file_path")
+    file = bare_path(F.url_decode(F.replace(url, F.lit("+"), F.lit("%2B"))))
+    values = (file, F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return rows.select("*", *(value.alias(name) for name, value in zip(PROVENANCE, values)))
+
+
+def bare_path(path):
+    """Without scheme and host, which Spark writes in several ways."""
+    return F.regexp_replace(path, SCHEME, "")
+
+
 def _widest(kinds: list[T.DataType]) -> T.DataType:
     """The type that holds all of ``kinds``, which parts of a file were inferred to have."""
     known = [k for k in kinds if not isinstance(k, T.NullType)]
@@ -123,11 +158,10 @@ def list_csv(spark: SparkSession, folder: str, skip: Sequence[str] = ()) -> list
     Entries that match a pattern of ``skip`` are left out; another subfolder is an
     error. Names that start with a dot or an underscore are hidden, as elsewhere in Spark.
     """
-    scheme = "^[a-zA-Z0-9]+:(//[^/]*)?"
-    root = re.sub(scheme, "", folder).rstrip("/")
+    root = re.sub(SCHEME, "", folder).rstrip("/")
     names = set()
     for path in _files(spark, folder):
-        entry, _, below = re.sub(scheme, "", path)[len(root) + 1 :].partition("/")
+        entry, _, below = re.sub(SCHEME, "", path)[len(root) + 1 :].partition("/")
         if any(fnmatch(entry, pattern) for pattern in skip):
             continue
         if below and not entry.lower().endswith(".csv"):
@@ -154,16 +188,21 @@ def load_csv_folder(
     before anything is loaded. Each load is one distributed read and write;
     ``options`` are those of ``read_csv``. No row is skipped.
     """
-    entries = list_csv(spark, folder, skip)
-    names = [table_name(e) for e in entries]
-    lowered = [n.lower() for n in names]
-    twice = [e for e, n in zip(entries, lowered) if lowered.count(n) > 1]
-    if twice:
-        raise ValueError(f"several entries make one table name: {twice}")
     loaded = []
-    for entry, name in zip(entries, names):
+    for entry, name in table_names(spark, folder, skip).items():
         table = f"{database}.{name}"
         rows = read_csv(spark, f"{folder.rstrip('/')}/{entry}", **options)
         rows.write.mode("append").saveAsTable(table)
         loaded.append(table)
     return loaded
+
+
+def table_names(spark: SparkSession, folder: str, skip: Sequence[str] = ()) -> dict[str, str]:
+    """Entries of a folder with the names of their tables, which have to differ."""
+    entries = list_csv(spark, folder, skip)
+    names = [table_name(e) for e in entries]
+    lowered = [n.lower() for n in names]
+    twice = [e for e, n in zip(entries, lowered) if lowered.count(n) > 1]
+    if twice:
+        raise ValueError(f"several entries make one table name: {twice}")
+    return dict(zip(entries, names))

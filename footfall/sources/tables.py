@@ -79,7 +79,13 @@ def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Colum
     if existed:
         # Dynamic overwrite leaves dates alone that got no rows.
         for day in sorted(set(wanted) - set(written.get["dates"] or [])):
-            _drop_partition(spark, table, {DATE_PARTITION: day})
+            drop_partition(spark, table, {DATE_PARTITION: day})
+
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that ``df`` has rows for, by column name."""
+    with _overwrite_mode(df.sparkSession, "dynamic"):
+        _by_name(df, table).write.mode("overwrite").insertInto(table)
 
 
 def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
@@ -114,7 +120,7 @@ def _delete(spark: SparkSession, table: str, predicate: Column) -> None:
     left = {tuple(r) for r in kept.select(*partitions).distinct().collect()}
     for values in touched_values:
         if tuple(values) not in left:
-            _drop_partition(spark, table, values.asDict())
+            drop_partition(spark, table, values.asDict())
 
 
 def _by_name(df: DataFrame, table: str) -> DataFrame:
@@ -146,7 +152,7 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c for c in section if c and not c.startswith("#")]
 
 
-def _drop_partition(spark: SparkSession, table: str, values: dict) -> None:
+def drop_partition(spark: SparkSession, table: str, values: dict) -> None:
     spec = ", ".join(f"`{name}` = {_sql_literal(value)}" for name, value in values.items())
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
