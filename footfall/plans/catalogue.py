@@ -27,7 +27,7 @@ from footfall.operators.prefix import bursts, numbered, positions, running_total
 from footfall.operators.returning import new_or_return
 from footfall.operators.stay import stay_time, stay_time_segments
 from footfall.operators.visitation import hour_slices, hourly_visitation, hourly_visitors
-from footfall.plans.refresh import Settings, refresh
+from footfall.plans.refresh import Settings, refresh, refresh_changed
 from footfall.sources import csv_files, ledger, tables
 from footfall.sources.captures import captures_from_events, on_dates
 from footfall.sources.scratch import scratch_path, stored
@@ -431,6 +431,18 @@ def _refreshed(spark: SparkSession, sf_dir: str, name: str, again: int = 0) -> D
     return spark.table(f"{database}.{name}").drop(tables.DATE_PARTITION, tables.LOAD_TIME)
 
 
+@query
+def q_refreshed_dependants(spark, sf_dir):
+    """Three months refreshed while two dates lacked visitors, and what reads these dates once they are there."""
+    database = _database(spark, "dependants")
+    whole = stored(long_captures(spark, sf_dir), "captures")
+    late = F.to_date("capture_time").isin(date(2024, 1, 10), date(2024, 1, 31)) & (F.col("profile_id") % 3 == 0)
+    settings = Settings(camera_id=CAMERA, gap_s=GAP_S)
+    for rows in (whole.where(~late), whole):
+        refresh_changed(spark, rows, database, settings, only=[*MADE_FROM["demographics"], "demographics"])
+    return spark.table(f"{database}.demographics").drop(tables.DATE_PARTITION, tables.LOAD_TIME)
+
+
 MADE_FROM: dict[str, list[str]] = {
     "visit_detail": [], "arrival_groups": [], "path_heatmap": [],
     "stay_time": ["visit_detail"], "new_or_return": ["visit_detail", "stay_time"],

@@ -73,9 +73,11 @@ def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Colum
     # Splits a large date over several files and merges small ones.
     # The dates that get rows are noted on the way: as many as there are dates.
     written = Observation()
-    rows = _by_name(rows, table).observe(written, F.collect_set(DATE_PARTITION).alias("dates"))
+    # Above the exchange, as an empty one is left out of the plan with all below it.
+    rows = _by_name(rows, table).hint("rebalance", DATE_PARTITION)
+    rows = rows.observe(written, F.collect_set(DATE_PARTITION).alias("dates"))
     with _overwrite_mode(spark, "dynamic"):
-        rows.hint("rebalance", DATE_PARTITION).write.mode("overwrite").insertInto(table)
+        rows.write.mode("overwrite").insertInto(table)
     if existed:
         # Dynamic overwrite leaves dates alone that got no rows.
         for day in sorted(set(wanted) - set(written.get["dates"] or [])):
