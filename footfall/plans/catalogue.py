@@ -28,7 +28,7 @@ from footfall.operators.returning import new_or_return
 from footfall.operators.stay import stay_time, stay_time_segments
 from footfall.operators.visitation import hour_slices, hourly_visitation, hourly_visitors
 from footfall.plans.refresh import Settings, refresh, refresh_changed
-from footfall.sources import csv_files, ledger, tables
+from footfall.sources import csv_files, ledger, tables, versions
 from footfall.sources.captures import captures_from_events, on_dates
 from footfall.sources.scratch import scratch_path, stored
 from footfall.streaming import events as feed
@@ -413,6 +413,21 @@ def q_deleted_rows(spark, sf_dir):
     return spark.table(name).drop(tables.LOAD_TIME)
 
 
+@query
+def q_committed_delete(spark, sf_dir):
+    """Events in a table with versions: all stored, odd dates replaced by clicks, then errors and the first week deleted."""
+    name, root = f"{_database(spark, 'commits')}.events", scratch_path(spark, "versions")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    dated = events.withColumns({tables.LOAD_TIME: F.lit(None).cast("timestamp"), tables.DATE_PARTITION: F.to_date("ts")})
+    versions.create(spark, name, dated.schema, root, [tables.DATE_PARTITION])
+    days = [r[0] for r in events.select(F.to_date("ts")).distinct().collect()]
+    versions.overwrite_dates(events, name, days, F.to_date("ts"))
+    versions.overwrite_dates(events.where("event_type = 'click'"), name, [d for d in days if d.day % 2], F.to_date("ts"))
+    versions.delete_where(spark, name, (F.col("event_type") == "error") | (F.col("dt") < F.lit("2024-01-08").cast("date")))
+    versions.vacuum(spark, name)
+    return spark.table(name).drop(tables.LOAD_TIME)
+
+
 @query
 def q_refresh(spark, sf_dir):
     """The daily refresh of all dates, and then of one again; returns its demographics table."""

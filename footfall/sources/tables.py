@@ -27,7 +27,7 @@ def create_table(
 
 def append(df: DataFrame, table: str) -> None:
     """Append by column name. Columns the table lacks are an error."""
-    _by_name(df, table).write.insertInto(table)
+    by_name(df, table).write.insertInto(table)
 
 
 def append_query(spark: SparkSession, query: str, table: str, args: dict | None = None) -> None:
@@ -74,7 +74,7 @@ def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Colum
     # The dates that get rows are noted on the way: as many as there are dates.
     written = Observation()
     # Above the exchange, as an empty one is left out of the plan with all below it.
-    rows = _by_name(rows, table).hint("rebalance", DATE_PARTITION)
+    rows = by_name(rows, table).hint("rebalance", DATE_PARTITION)
     rows = rows.observe(written, F.collect_set(DATE_PARTITION).alias("dates"))
     with _overwrite_mode(spark, "dynamic"):
         rows.write.mode("overwrite").insertInto(table)
@@ -87,7 +87,7 @@ def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Colum
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace the partitions that ``df`` has rows for, by column name."""
     with _overwrite_mode(df.sparkSession, "dynamic"):
-        _by_name(df, table).write.mode("overwrite").insertInto(table)
+        by_name(df, table).write.mode("overwrite").insertInto(table)
 
 
 def delete_where(spark: SparkSession, table: str, predicate: Column) -> None:
@@ -125,7 +125,7 @@ def _delete(spark: SparkSession, table: str, predicate: Column) -> None:
             drop_partition(spark, table, values.asDict())
 
 
-def _by_name(df: DataFrame, table: str) -> DataFrame:
+def by_name(df: DataFrame, table: str) -> DataFrame:
     target = df.sparkSession.table(table).schema
     unknown = [c for c in df.columns if c not in target.names]
     if unknown:
@@ -155,11 +155,11 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def drop_partition(spark: SparkSession, table: str, values: dict) -> None:
-    spec = ", ".join(f"`{name}` = {_sql_literal(value)}" for name, value in values.items())
+    spec = ", ".join(f"`{name}` = {sql_literal(value)}" for name, value in values.items())
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
-def _sql_literal(value) -> str:
+def sql_literal(value) -> str:
     if value is None:
         return "NULL"
     if isinstance(value, (int, float)):
