@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions import buckets, clock
+from footfall.operators.bands import band_join
+from footfall.operators.bitmaps import member_bitmaps, member_numbers, merged_counts
 from footfall.operators.counting import count_members, fill_with_group_mean, flag_present
 from footfall.operators.demographics import (
     daily_demographic_visitors,
@@ -289,6 +291,26 @@ def q_order_numbers(spark, sf_dir):
     return positions(numbered(orders, dearest), ["o_orderstatus"], dearest)
 
 
+@query
+def q_shipments_near_orders(spark, sf_dir):
+    """What a customer was shipped from three days before to ten days after each of their orders."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    shipped = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select("o_custkey", "l_orderkey", "l_linenumber", "l_shipdate")
+    return band_join(orders, shipped, ["o_custkey"], "o_orderdate", "l_shipdate", -3 * 86400, 10 * 86400)
+
+
+@query
+def q_monthly_visitors(spark, sf_dir):
+    """Visitors per region and month, from stored bitmaps of each day alone."""
+    rows = long_captures(spark, sf_dir).select(F.to_date("capture_time").alias("date"), "region_id", "profile_id")
+    early = rows.where("date < '2024-02-01'")
+    numbers = stored(member_numbers(early, "profile_id"), "numbers")
+    numbers = numbers.unionByName(stored(member_numbers(rows, "profile_id", numbers), "numbers"))
+    daily = stored(member_bitmaps(rows, ["date", "region_id"], "profile_id", numbers), "bitmaps")
+    return merged_counts(daily.withColumn("month", F.trunc("date", "month")), ["month", "region_id"], "visitors")
+
+
 @query
 def q_nearest_price(spark, sf_dir):
     """The supplier whose price is closest to a part's list price, with a rule for ties."""
