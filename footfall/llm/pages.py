@@ -15,7 +15,8 @@ Repetition alone cannot give right texts: menus and footers differ from page to
 page, and articles may be copied. So it decides only where structure does not.
 
 Edge cases: null or empty pages have an empty text; broken markup is read as far
-as it goes, an unclosed element ends with the one around it; a null URL is a
+as it goes, in time linear in its length, an unclosed element ends with the one around it
+and a tag that is cut off at the end is no text; a null URL is a
 host of its own; repeated rows get the same text each and do not count as
 repetition; other columns are ignored.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -55,10 +57,8 @@ FRAME_WORDS = set(
 )
 FRAME_ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?][^>]*>",
-    re.DOTALL,
-)
+_START = re.compile(r"<(?:!--|[!?]|(/?)([A-Za-z][^\s/>]*))")
+_STOP = re.compile("[>\"']")
 _NAMES = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 
 
@@ -78,6 +78,41 @@ def _is_frame(name: str, rest: str) -> bool:
     return False
 
 
+def _tags(page: str):
+    """``(from, to, closing, name, attributes)`` of all tags, in one pass; comments and the like have no name.
+
+    A tag that is open at the end of the page ends with it. A quote that is never closed is a
+    letter, and so are those before it from the tag on: such a stretch is scanned twice at most.
+    """
+    at, broken = 0, -1
+
+    def end_of(start: int) -> int:
+        nonlocal broken
+        here = start
+        while start > broken:
+            stop = _STOP.search(page, here)
+            if stop and stop[0] == ">":
+                return stop.start()
+            closing = page.find(stop[0], stop.end()) if stop else -1
+            if closing < 0:
+                broken = stop.start() if stop else len(page)
+                break
+            here = closing + 1
+        return page.find(">", start)
+
+    while tag := _START.search(page, at):
+        if tag[0] == "<!--":
+            end = page.find("-->", tag.end()) + 2
+            at = end + 1 if end > 1 else len(page)
+            yield tag.start(), at, False, "", ""
+            continue
+        end = end_of(tag.end()) if tag[2] else page.find(">", tag.end())
+        at = end + 1 if end >= 0 else len(page)
+        jump = yield tag.start(), at, bool(tag[1]), (tag[2] or "").lower() if end >= 0 else "", page[tag.end() : end] if tag[2] and end >= 0 else ""
+        if jump:
+            at = jump
+
+
 def blocks(page: str) -> list[tuple[str, str]]:
     """``(place, text)`` of the blocks of a page, in order; place is main, frame or open."""
     out: list[tuple[str, str]] = []
@@ -90,49 +125,55 @@ def blocks(page: str) -> list[tuple[str, str]]:
             out.append((stack[-1][1], text))
         pieces_.clear()
 
-    def close(name: str):
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] == name:
-                del stack[depth:]
-                return
+    opened = Counter()
 
-    at = 0
+    def close(name: str):
+        if opened[name]:
+            while True:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == name:
+                    return
+
+    at, tags = 0, _tags(page)
+    tag = next(tags, None)
     while True:
-        tag = _TAG.search(page, at)
-        raw = page[at : tag.start() if tag else len(page)]
+        raw = page[at : tag[0] if tag else len(page)]
         if raw and stack[-1][0] not in SILENT:
             pieces_.append(html.unescape(raw) if "&" in raw else raw)
         if not tag:
             flush()
             return out
-        at = tag.end()
-        name = (tag[2] or tag[5] or "").lower()
-        if not name:
-            continue
-        closing, rest = tag[1] or tag[4], tag[3] or tag[6] or ""
+        _, at, closing, name, rest = tag
+        jump = None
         place = stack[-1][1]
-        if closing:
-            if name not in INLINE or (place == "frame" and any(n == name for n, _ in stack[1:])):
+        if closing and name:
+            if name not in INLINE or (place == "frame" and opened[name]):
                 flush()
             close(name)
-            continue
-        frame = _is_frame(name, rest)
-        if (name not in INLINE or frame) and name not in UNSEEN:
-            flush()
-        if name in VOID or rest.endswith("/") and name not in MAIN:
-            continue
-        if name not in INLINE and stack[-1][0] in ALONE and (stack[-1][0] == "p" or stack[-1][0] == name):
-            stack.pop()  # a paragraph ends where the next block begins, an item at the next item
-            place = stack[-1][1]
-        if frame or place == "frame":
-            inner = "frame"
-        else:
-            inner = "main" if place == "main" or name in MAIN else "open"
-        if name in RAW:  # markup in here is text
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
-            continue
-        stack.append((name, inner))
+        elif name:
+            frame = _is_frame(name, rest)
+            if (name not in INLINE or frame) and name not in UNSEEN:
+                flush()
+            if not (name in VOID or rest.endswith("/") and name not in MAIN):
+                if name not in INLINE and stack[-1][0] in ALONE and (stack[-1][0] == "p" or stack[-1][0] == name):
+                    opened[stack.pop()[0]] -= 1  # a paragraph ends where the next block begins, an item at the next item
+                    place = stack[-1][1]
+                if frame or place == "frame":
+                    inner = "frame"
+                else:
+                    inner = "main" if place == "main" or name in MAIN else "open"
+                if name in RAW:  # markup in here is text
+                    end = re.compile(rf"</{re.escape(name)}\b", re.IGNORECASE).search(page, at)
+                    end = page.find(">", end.end()) if end else -1
+                    jump = at = end + 1 if end >= 0 else len(page)
+                else:
+                    stack.append((name, inner))
+                    opened[name] += 1
+        try:
+            tag = tags.send(jump)
+        except StopIteration:
+            tag = None
 
 
 def _parsed(batches):

@@ -235,3 +235,21 @@ def test_stages_keep_columns(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize(
+    "part", ["<a b", '<a "', "<a '\">", "<b>", "<b></x>", "<script", "<script></script ", "<!--", "<p class=\"class=", "</", "<", "<a<", "<p><b><i></p>", "&"]
+)
+def test_pages_of_a_megabyte_take_linear_time(part):
+    import time
+
+    page = "<article>begin " + part * (1_000_000 // len(part))
+    start = time.process_time()
+    found = pages.blocks(page)
+    assert time.process_time() - start < 8, part  # some 250,000 tags on a slow machine; quadratic work takes minutes
+    assert found[0][1].startswith("begin")
+
+
+def test_quotes_that_are_not_closed():
+    assert pages.blocks('<article><a href="x>y</a>z</article>w') == [("main", "yz"), ("open", "w")]
+    assert pages.blocks("<article><a title='1 > 0' href=\"a>b\">y</a></article>") == [("main", "y")]
