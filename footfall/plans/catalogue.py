@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from footfall.sources import csv_files, ledger, tables, versions
 from footfall.sources.captures import captures_from_events, on_dates
 from footfall.sources.scratch import scratch_path, stored
 from footfall.streaming import events as feed
+from footfall.streaming.sessions import streamed_bursts
 
 # The view has no camera 94, and visitors come minutes apart.
 CAMERA = 11
@@ -593,6 +595,50 @@ def _through_stream(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     )
 
 
+@query
+def q_streamed_bursts(spark, sf_dir):
+    """Bursts per event type from a feed that comes in three parts, each read by a stream started anew; the last is a mark of its end."""
+    folder = scratch_path(spark, "bursts")
+    events = feed_events(spark, sf_dir)
+    end = spark.range(1).select(F.lit("2100-01-01").cast("timestamp").alias("event_time"), F.lit("end").alias("event_type"))
+    split = F.lit("2024-01-15").cast("timestamp")
+    for part in (events.where(F.col("event_time") < split), events.where(F.col("event_time") >= split), end):
+        lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in feed.EVENT if f.name not in part.columns]
+        feed.encode_events(part.select("*", *lacking)).write.mode("append").text(f"{folder}/in")
+        rows = feed.parse_events(feed.read_folder(spark, f"{folder}/in"))
+        found = streamed_bursts(rows, ["event_type"], "event_time", 1500, "1 hour")
+        writer = found.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(f"{folder}/out").where("event_type <> 'end'")
+    return found.select("event_type", F.unix_millis("first").alias("first_ms"), F.unix_millis("last").alias("last_ms"), "events")
+
+
+@query
+def q_published_once(spark, sf_dir):
+    """The feed published from a stream whose sink fails once after it wrote a batch."""
+    folder = scratch_path(spark, "publish")
+    feed.encode_events(feed_events(spark, sf_dir)).write.text(f"{folder}/in")
+    rows = feed.parse_events(feed.read_folder(spark, f"{folder}/in", max_files=4))
+    write = feed.folder_sink(f"{folder}/out")
+
+    def fails(messages: DataFrame, number: int) -> None:
+        write(messages, number)
+        raise RuntimeError("the sink was lost")
+
+    for sink in (fails, write):
+        stream = feed.publish_once(rows, sink, f"{folder}/ledger", f"{folder}/checkpoint", key=F.col("user_id"))
+        try:
+            stream.awaitTermination()
+        except StreamingQueryException:
+            if sink is write:
+                raise
+    found = feed.parse_events(feed.read_published(spark, f"{folder}/out", f"{folder}/ledger"))
+    return found.select(
+        F.unix_millis("event_time").alias("event_ms"),
+        "user_id", "event_type", "page", "country", "amount", "payload", feed.BAD_MESSAGE,
+    )
+
+
 def _database(spark: SparkSession, purpose: str) -> str:
     path = scratch_path(spark, f"footfall_{purpose}")
     name = path.rsplit("/", 1)[1].replace("-", "_")

@@ -7,7 +7,7 @@ topic needs Spark's Kafka connector on the class path.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,3 +177,47 @@ def publish_events(
         .option("checkpointLocation", checkpoint)
         .start()
     )
+
+
+def publish_once(
+    events: DataFrame, sink: Callable[[DataFrame, int], None], ledger: str, checkpoint: str, fmt: str = "json",
+    key: Column | None = None,
+) -> StreamingQuery:
+    """Hand the messages of what is there to ``sink``, batch by batch, and note each batch in a ledger when it is out.
+
+    After a failure Spark plays the last batch again under its old number. If the ledger has it, it is
+    not handed over again; if not, ``sink`` gets the same rows with the same number and has to replace
+    what it may have written of them, as ``folder_sink`` does. A topic cannot replace: there a batch that
+    failed between its last message and the ledger is delivered twice, under its number.
+    """
+    spark = events.sparkSession
+
+    def publish(batch: DataFrame, number: int) -> None:
+        if number not in published_batches(spark, ledger):
+            sink(encode_events(batch, fmt, key).withColumn("batch", F.lit(number).cast("long")), number)
+            spark.range(1).select(F.lit(number).cast("long").alias("batch")).coalesce(1).write.mode("overwrite").parquet(f"{ledger}/{number}")
+
+    writer = events.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
+def published_batches(spark: SparkSession, ledger: str) -> set[int]:
+    """Numbers of the batches that are out: one small file a batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return set()
+    noted = spark.read.schema("batch long").option("recursiveFileLookup", True).parquet(ledger)
+    return {r[0] for r in noted.collect()}
+
+
+def folder_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Messages as Parquet, a folder for each batch, replaced whole."""
+    return lambda messages, number: messages.write.mode("overwrite").parquet(f"{path}/{number}")
+
+
+def read_published(spark: SparkSession, path: str, ledger: str) -> DataFrame:
+    """What ``folder_sink`` has of the batches that are out, and nothing of one that is not."""
+    numbers = sorted(published_batches(spark, ledger))
+    if not numbers:
+        raise ValueError(f"nothing is published in {path}")
+    return spark.read.parquet(*(f"{path}/{n}" for n in numbers))
