@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from fnmatch import fnmatch
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +49,13 @@ def read_csv(
     to text. Missing text becomes an empty string, missing numbers stay null.
 
     Parts are matched by their headers: one with another order of columns is read
-    by name, one with other columns is an error. The header of each part is read
-    on its own, a small job per part.
+    by name, one with other columns is an error. Headers and types of all parts are
+    found in one aggregation, however many parts there are.
 
     A row that does not fit fails the read; with ``keep_bad_rows`` it is kept, with
     what could be read of it, and its text is in ``_corrupt_record``. Files with line
-    breaks inside quotes need ``multi_line``, which reads each file in one task.
+    breaks inside quotes need ``multi_line``, which reads each file in one task, and
+    the header of each file in a job of its own.
     """
     found = read_parts(spark, _files(spark, path), stringify_floats, sampling_ratio, schema, keep_bad_rows, multi_line)
     return found.drop(*PROVENANCE)
@@ -72,23 +75,20 @@ def read_parts(
     Numbers grow along a split. They hold for one run of the scan: store the rows
     before using them twice.
     """
-    lines = spark.read.option("header", True).option("multiLine", multi_line)
-    orders: dict[tuple[str, ...], list[str]] = {}
-    for part in parts:
-        header = tuple(lines.csv(part).columns)
-        if header:  # an empty file has none
-            orders.setdefault(header, []).append(part)
+    if multi_line:
+        orders, inferred = _orders_by_part(spark, parts, sampling_ratio, schema)
+    else:
+        orders, inferred = _orders_in_one_pass(spark, parts, sampling_ratio)
     if not orders:
         raise ValueError(f"no CSV with a header among {list(parts)[:3]}")
     first = next(iter(orders))
-    for other, parts in orders.items():
+    for other, some in orders.items():
         if sorted(other) != sorted(first):
-            raise ValueError(f"{parts[0]} has the columns {list(other)}, other parts have {list(first)}")
-    if schema is None:
-        inferring = lines.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-        found = [inferring.csv(parts).schema for parts in orders.values()]
-        schema = T.StructType([T.StructField(c, _widest([f[c].dataType for f in found])) for c in first])
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("enforceSchema", False)
+            raise ValueError(f"{some[0]} has the columns {list(other)}, other parts have {list(first)}")
+    schema = schema or inferred
+    reader = spark.read.option("header", True).option("multiLine", multi_line)
+    # Headers are matched already; Spark cannot check one without a name.
+    reader = reader.option("enforceSchema", any(re.fullmatch(r"_c\d+", c) for c in first))
     if keep_bad_rows:
         reader = reader.option("columnNameOfCorruptRecord", BAD_ROW)
     else:
@@ -120,6 +120,76 @@ def bare_path(path):
     return F.regexp_replace(path, SCHEME, "")
 
 
+# What a cell can be read as; the kinds of several cells are those of each, as bits.
+WHOLE, FRACTION, DAY, TIME, TRUTH, TEXT = (1 << i for i in range(6))
+
+
+def _kind(cell: Column) -> Column:
+    """The kind of a cell; 0 says nothing, as a missing value."""
+    day = r"\d{4}-\d{2}-\d{2}"
+    return (
+        F.when(cell.isNull() | (cell == ""), 0)
+        .when(cell.rlike(r"^[+-]?\d{1,19}$") & cell.try_cast("long").isNotNull(), WHOLE)
+        .when(cell.rlike(r"^([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|-?Inf)$"), FRACTION)
+        .when(cell.rlike(f"^{day}$") & cell.try_cast("date").isNotNull(), DAY)
+        .when(cell.rlike(rf"^{day}[T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?(Z|[+-]\d{{2}}:?\d{{2}})?$") & cell.try_cast("timestamp").isNotNull(), TIME)
+        .when(F.lower(cell).isin("true", "false"), TRUTH)
+        .otherwise(TEXT)
+    )
+
+
+def _type(kinds: int) -> T.DataType:
+    """The type that holds cells of all these kinds."""
+    known = {
+        WHOLE: T.LongType(), FRACTION: T.DoubleType(), WHOLE | FRACTION: T.DoubleType(), DAY: T.DateType(),
+        TIME: T.TimestampType(), DAY | TIME: T.TimestampType(), TRUTH: T.BooleanType(),
+    }
+    return known.get(kinds, T.StringType())
+
+
+def _orders_in_one_pass(
+    spark: SparkSession, parts: Sequence[str], sampling_ratio: float
+) -> tuple[dict[tuple[str, ...], list[str]], T.StructType | None]:
+    """Files by the order of their columns, and the types of all, from one aggregation of lines by file.
+
+    Which lines are headers is known from any one: they have its names in some order.
+    """
+    lines = spark.read.text(list(parts)).where(F.trim("value") != "")
+    # The first line of any file names all columns.
+    some = lines.where("_metadata.file_block_start = 0").first()
+    if some is None:
+        return {}, None
+    names = [c or f"_c{i}" for i, c in enumerate(next(csv.reader([some.value])))]
+    cells = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names) + 1)])
+    rows = lines.select(
+        "value", F.col("_metadata.file_path").alias("_url"), F.col("_metadata.file_block_start").alias("_at"),
+        F.monotonically_increasing_id().alias("_id"), F.from_csv("value", F.lit(cells.simpleString()[7:-1].replace(":", " "))).alias("_c"),
+    )
+    every = [F.col(f"_c.c{i}") for i in range(len(names))]
+    named = [F.coalesce(cell, F.lit(f"_c{i}")) for i, cell in enumerate(every)]
+    header = F.array_sort(F.array(*named)) == F.array_sort(F.array(*map(F.lit, names)))
+    rows = rows.withColumn("_header", F.coalesce(header, F.lit(False)))
+    counted = ~F.col("_header") if sampling_ratio >= 1 else ~F.col("_header") & (F.rand(0) < sampling_ratio)
+    masks = [F.bit_or(F.when(counted, _kind(cell))).alias(f"_k{i}") for i, cell in enumerate(every)]
+    first = F.min_by(F.when(F.col("_at") == 0, F.col("_c")), F.when(F.col("_at") == 0, F.col("_id")))
+    files = rows.groupBy("_url").agg(first.alias("_first"), F.count(F.when(F.col("_header"), 1)).alias("_headers"), *masks)
+    found: dict[tuple[str, ...], list[str]] = {}
+    kinds = dict.fromkeys(names, 0)
+    for r in files.collect():  # a row a file, as the reader is given the files by name
+        cells_of = list(r._first or [])
+        order = tuple(c or f"_c{i}" for i, c in enumerate(cells_of) if c is not None or i < len(names))
+        found.setdefault(order, []).append(r._url)
+        if sorted(order) == sorted(names):
+            for i, name in enumerate(order):
+                # A header in the midst of a file is a row of text.
+                kinds[name] |= (r[f"_k{i}"] or 0) | (TEXT if r._headers > 1 else 0)
+    by_name = {re.sub(SCHEME, "", p): p for p in parts}
+    part = lambda url: by_name[unquote(re.sub(SCHEME, "", url))]
+    found = {order: sorted(map(part, urls)) for order, urls in sorted(found.items(), key=lambda x: min(x[1]))}
+    given = next((order for order in found if sorted(order) == sorted(names)), None)
+    return found, given and T.StructType([T.StructField(c, _type(kinds[c])) for c in given])
+
+
 def _widest(kinds: list[T.DataType]) -> T.DataType:
     """The type that holds all of ``kinds``, which parts of a file were inferred to have."""
     known = [k for k in kinds if not isinstance(k, T.NullType)]
@@ -131,6 +201,26 @@ def _widest(kinds: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
+def _orders_by_part(
+    spark: SparkSession, parts: Sequence[str], sampling_ratio: float, schema: T.StructType | None
+) -> tuple[dict[tuple[str, ...], list[str]], T.StructType | None]:
+    """The same with line breaks inside quotes, a job a file and a scan an order."""
+    lines = spark.read.option("header", True).option("multiLine", True)
+    orders: dict[tuple[str, ...], list[str]] = {}
+    for part in parts:
+        header = tuple(lines.csv(part).columns)
+        if header:  # an empty file has none
+            orders.setdefault(header, []).append(part)
+    if schema is not None or not orders:
+        return orders, schema
+    inferring = lines.option("inferSchema", True).option("samplingRatio", sampling_ratio)
+    found = [inferring.csv(some).schema for some in orders.values()]
+    first = next(iter(orders))
+    if any(sorted(other) != sorted(first) for other in orders):
+        return orders, None
+    return orders, T.StructType([T.StructField(c, _widest([f[c].dataType for f in found])) for c in first])
+
+
 def _mapped(field: T.StructField, stringify_floats: bool):
     column, kind = F.col(f"`{field.name}`"), field.dataType
     if isinstance(kind, T.BooleanType):

@@ -208,6 +208,44 @@ def test_parts_are_matched_by_header(spark, tmp_path):
         csv_files.read_csv(spark, str(parts))
 
 
+def test_headers_and_types_take_as_many_jobs_for_any_number_of_parts(spark, tmp_path):
+    def jobs(parts):
+        folder = tmp_path / f"{parts}.csv"
+        folder.mkdir()
+        for i in range(parts):
+            order = "a b,when,x" if i % 2 else "x,a b,when"
+            row = f"{i},2024-01-0{i % 9 + 1},{i}.5" if i % 2 else f"{i},{i},2024-01-01 10:00:00"
+            (folder / f"{i} %.csv").write_text(f"{order}\n{row}\n\n")
+        spark.sparkContext.setJobGroup(f"read {parts}", "")
+        df = csv_files.read_csv(spark, str(folder))
+        ran = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"read {parts}"))
+        assert dict(df.dtypes) == {"x": "double", "a_b": "bigint", "when": "timestamp_ntz"} and df.count() == parts
+        return ran
+
+    assert jobs(3) == jobs(24) <= 6
+
+
+@pytest.mark.parametrize(
+    "cells, kind, value",
+    [
+        (["1", "", "-7"], "bigint", 1), (["1", "99999999999999999999"], "double", 1.0), (["1", "1e3", "NaN"], "double", 1.0),
+        (["2024-01-02"], "date", date(2024, 1, 2)), (["2024-13-02"], "string", "2024-13-02"), (["2024"], "bigint", 2024),
+        (["2024-01-02", "2024-01-02T03:04:05Z"], "timestamp_ntz", datetime(2024, 1, 2)), (["1", "2024-01-02"], "string", "1"),
+        (["true", "False"], "int", 1), (["true", "1"], "string", "true"), (["", ""], "string", ""), (["c"], "string", "c"), (["+5", "5."], "double", 5.0),
+    ],
+)
+def test_types_of_cells(spark, tmp_path, cells, kind, value):
+    (tmp_path / "x.csv").write_text("k,c\n" + "".join(f"{i},{c}\n" for i, c in enumerate(cells)))
+    df = csv_files.read_csv(spark, str(tmp_path / "x.csv"))
+    assert dict(df.dtypes) == {"k": "bigint", "c": kind}
+    assert df.where("k = 0").first().c == value
+
+
+def test_columns_without_a_name_and_headers_in_the_midst(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(",v\n0,1\n,v\n")
+    assert rows_of(csv_files.read_csv(spark, str(tmp_path / "x.csv")), "_c0", "v") == [("", "v"), ("0", "1")]
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     from footfall.sources import scratch
 
