@@ -458,12 +458,18 @@ def q_refresh(spark, sf_dir):
     return _refreshed(spark, sf_dir, "demographics", again=1)
 
 
-def _refreshed(spark: SparkSession, sf_dir: str, name: str, again: int = 0) -> DataFrame:
+@query
+def q_refreshed_in_buckets(spark, sf_dir):
+    """Hourly visitation of all dates, from tables in buckets by visitor; one date made again."""
+    return _refreshed(spark, sf_dir, "hourly_visitation", again=1, buckets=4)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, name: str, again: int = 0, buckets: int = 0) -> DataFrame:
     """A table of the daily refresh, with the tables it is made from, after ``again`` dates were made once more."""
     database = _database(spark, "refresh")
     rows = stored(captures(spark, sf_dir), "captures")
     days = sorted(r[0] for r in rows.select(F.to_date("capture_time")).distinct().collect())
-    settings = Settings(camera_id=CAMERA, gap_s=GAP_S)
+    settings = Settings(camera_id=CAMERA, gap_s=GAP_S, buckets=buckets)
     for some in (days, days[:again]):
         if some:
             refresh(spark, rows, some, database, settings, only=[*MADE_FROM[name], name])

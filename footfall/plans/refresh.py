@@ -35,6 +35,7 @@ SOURCES = {
     "demographics": ["visit_detail", "stay_time", "new_or_return"],
 }
 DIGEST = "capture_digest"
+VISITOR = "profile_id"
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,9 @@ class Settings:
     zone_lookback_months: int = 2
     day_lookback: int = 1
     heatmap_mode: str = "elapsed"
+    #: Tables with visitors are created with so many buckets by visitor, and joined without a shuffle where
+    #: ``spark.sql.requireAllClusterKeysForCoPartition`` is off. A bucket of a date should be some 100 MB.
+    buckets: int = 0
 
 
 def refresh(
@@ -104,7 +108,9 @@ def refresh(
     for name in TABLES:
         if name in set(only):
             rows, day = jobs[name]
-            overwrite_dates(rows(), f"{database}.{name}", days, day)
+            made = rows()
+            cut = (VISITOR, settings.buckets) if settings.buckets and VISITOR in made.columns else None
+            overwrite_dates(made, f"{database}.{name}", days, day, cut)
             done.append(f"{database}.{name}")
     return done
 

@@ -17,12 +17,14 @@ LOAD_TIME = "batch_time"
 
 
 def create_table(
-    spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = ()
+    spark: SparkSession, table: str, schema: StructType, partition_by: Sequence[str] = (),
+    buckets: tuple[str, int] | None = None,
 ) -> None:
-    """Create a Parquet table unless it exists."""
+    """Create a Parquet table unless it exists; ``buckets`` are a column and a number of buckets by it."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitions = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitions}")
+    cut = f" CLUSTERED BY ({buckets[0]}) SORTED BY ({buckets[0]}) INTO {buckets[1]} BUCKETS" if buckets else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitions}{cut}")
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -48,13 +50,17 @@ def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
 
-def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Column) -> None:
+def overwrite_dates(
+    df: DataFrame, table: str, dates: Iterable[date], day: Column, buckets: tuple[str, int] | None = None
+) -> None:
     """Replace ``dates`` in ``table`` with the rows of ``df`` on those dates.
 
     ``day`` is the date of a row; it becomes the partition column ``dt``. The
     load time is stamped here. Running it again gives the same table, and a date
     for which ``df`` has no rows ends up empty. Everything that can be wrong with
-    the columns is checked before the table is touched.
+    the columns is checked before the table is touched. A table that is created here is cut into
+    ``buckets``, a column and a number: tables with the same buckets are joined by that column
+    without being shuffled.
     """
     spark = df.sparkSession
     wanted = sorted(set(dates))
@@ -67,14 +73,17 @@ def overwrite_dates(df: DataFrame, table: str, dates: Iterable[date], day: Colum
     )
     existed = spark.catalog.tableExists(table)
     if not existed:
-        create_table(spark, table, rows.schema, [DATE_PARTITION])
+        create_table(spark, table, rows.schema, [DATE_PARTITION], buckets)
     elif _partition_columns(spark, table) != [DATE_PARTITION]:
         raise ValueError(f"{table} is not partitioned by {DATE_PARTITION}")
     # Splits a large date over several files and merges small ones.
     # The dates that get rows are noted on the way: as many as there are dates.
     written = Observation()
     # Above the exchange, as an empty one is left out of the plan with all below it.
-    rows = by_name(rows, table).hint("rebalance", DATE_PARTITION)
+    rows = by_name(rows, table)
+    cut = buckets_of(spark, table)
+    # A task for each bucket, so that a date has one file of it.
+    rows = rows.repartition(cut[1], cut[0]) if cut else rows.hint("rebalance", DATE_PARTITION)
     rows = rows.observe(written, F.collect_set(DATE_PARTITION).alias("dates"))
     with _overwrite_mode(spark, "dynamic"):
         rows.write.mode("overwrite").insertInto(table)
@@ -154,6 +163,12 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c for c in section if c and not c.startswith("#")]
 
 
+def buckets_of(spark: SparkSession, table: str) -> tuple[str, int] | None:
+    """Column and number of the buckets of a table, if it has any."""
+    said = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return (said["Bucket Columns"].strip("[]`"), int(said["Num Buckets"])) if "Num Buckets" in said else None
+
+
 def drop_partition(spark: SparkSession, table: str, values: dict) -> None:
     spec = ", ".join(f"`{name}` = {sql_literal(value)}" for name, value in values.items())
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")

@@ -99,3 +99,16 @@ def test_a_stream_needs_a_checkpoint(spark):
     stream = spark.readStream.format("rate").load().selectExpr("timestamp AS event_time")
     with pytest.raises(ValueError, match="checkpoint"):
         feed.publish_events(stream, {})
+
+
+def test_a_rate_cap_holds_for_every_batch(spark, tmp_path):
+    source, out, marks = (str(tmp_path / d) for d in ("in", "out", "marks"))
+    lines = [JSON.replace('"user_id": 7', f'"user_id": {i}') for i in range(28)]
+    (tmp_path / "in").mkdir()
+    for i in range(7):
+        (tmp_path / "in" / f"{i}.txt").write_text("\n".join(lines[4 * i : 4 * i + 4]) + "\n")
+    stream = feed.ingest_events(feed.read_folder(spark, source, max_files=2), out, marks)
+    stream.awaitTermination()
+    rows = [p["numInputRows"] for p in stream.recentProgress if p["numInputRows"]]
+    assert rows == [8, 8, 8, 4]
+    assert spark.read.parquet(out).count() == 28
