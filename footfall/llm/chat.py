@@ -13,6 +13,7 @@ roles the characters that control strings are made of are replaced: backslash by
 Edge cases: null texts and roles are empty; rows of one turn are ordered by role,
 then text; equal rows are messages of their own; a null conversation id is one
 conversation; a parent that does not exist makes a root; no rows give no rows.
+Branches take one row a node; where ids repeat, ``format_trees`` tells the rows apart.
 A node on a circle of parents has no root and is left out. Extra columns are
 ignored.
 """
@@ -55,6 +56,25 @@ def linear_nodes(rows: DataFrame) -> DataFrame:
     return rows.select("conv_id", "node", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
+def told_apart(nodes: DataFrame) -> DataFrame:
+    """Trees whose node ids may repeat, with ids ``(node, copy)`` that name one row each.
+
+    Rows of one id are numbered by parent, role, text and score. Replies hang on the first
+    of them, copy 0; the others have no replies and end branches of their own.
+    """
+    order = [F.col("parent").asc_nulls_first(), "role", "text", "score"]
+    copy = F.row_number().over(Window.partitionBy("conv_id", "node").orderBy(*order)) - 1
+    parent = F.when(F.col("parent").isNotNull(), F.struct(F.col("parent").alias("node"), F.lit(0).alias("copy")))
+    rows = nodes.withColumn("_copy", copy)
+    return rows.select("conv_id", F.struct("node", F.col("_copy").alias("copy")).alias("node"), parent.alias("parent"), "role", "text", "score")
+
+
+def format_trees(nodes: DataFrame, best: int | None = None, learned: str = LEARNED_ROLE) -> DataFrame:
+    """``format_branches`` for nodes whose ids may repeat: ``leaf`` and its ``copy`` name a branch."""
+    found = format_branches(told_apart(nodes), best, learned)
+    return found.select("conv_id", "leaf.node", "leaf.copy", "rank", "formatted", "loss").withColumnRenamed("node", "leaf")
+
+
 def ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Jump tables and branch figures of all nodes.
 

@@ -169,12 +169,19 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with all columns, without the texts that are ``und``; a null ``lang`` becomes the prediction."""
+    """``docs`` with all columns, without the texts that are ``und``; a null ``lang`` becomes the prediction.
+
+    Without a model, as no row told a language, texts with a letter stay as they are.
+    """
     names = docs.columns
 
     def run(batches):
         for batch in batches:
             found, _ = classify(model, batch.column("text"))
+            if model is None:
+                known = pa.array([_has_letter(t) for t in batch.column("text").to_pylist()], pa.bool_())
+                yield batch.filter(known)
+                continue
             known = pa.array([x != UNKNOWN for x in found], pa.bool_())
             columns = [
                 pc.coalesce(batch.column(n), pa.array(found, batch.schema.field(n).type)) if n == "lang" else batch.column(n)

@@ -294,6 +294,8 @@ def test_language(spark):
     known = {r.doc_id: r.lang for r in kept.collect()}
     assert set(known) == {i for i, (l, _) in told.items() if l != "und"} and known[-4] == told[-4][0]
     assert langid.fit(docs(spark, [])) is None
+    plain = docs(spark, [(1, "five plain words of English"), (2, "123 ..."), (3, None), (4, "")])
+    assert [r.doc_id for r in langid.keep_known(plain, None).collect()] == [1]
     assert [r.lang_pred for r in langid.predict(test.limit(3), None, ["doc_id"]).collect()] == ["und"] * 3
     assert langid.predict(docs(spark, []), model, ["doc_id"]).count() == 0
 

@@ -74,6 +74,17 @@ def test_branches_are_ranked(spark):
     assert [best.formatted[s.start : s.start + s.size] for s in best.loss] == ["good", "end"]
 
 
+def test_nodes_that_repeat_are_told_apart(spark):
+    rows = [(1, i, i - 1 if i else None, "user", f"t{i}", 0.0) for i in range(5)] * 2 + [(1, 4, 3, "user", "other", 0.0), (2, 0, 0, "u", "circle", 0.0)]
+    nodes = spark.createDataFrame(rows, NODES)
+    assert chat.branches(chat.told_apart(nodes)).count() == 1 + 2 + 3 + 4 + 5 + 5 + 5  # each copy ends a branch once
+    found = {(r.leaf, r.copy): r.formatted for r in chat.format_trees(nodes).collect()}
+    assert set(found) == {(4, 0), (4, 1), (4, 2), *((i, 1) for i in range(4))}
+    chain = lambda *said: "".join(f"### user: {t}</turn>\n" for t in said)
+    assert found[4, 0] == chain("t0", "t1", "t2", "t3", "other") and found[4, 1] == found[4, 2] == chain(*(f"t{i}" for i in range(5)))
+    assert found[0, 1] == chain("t0") and found[2, 1] == chain("t0", "t1", "t2")
+
+
 def test_round_trip(spark):
     awkward = ["", None, "\\", "\\s", "\\\\l</turn>\n### x: ", "<#:\\c>", "a" * 100_000, "é\U0001f600\n\n", "\\### Assistant: </turn> ok", "ends \\"]
     roles = ["user", "assistant", None, "a:b#<\\", "assistant"]
