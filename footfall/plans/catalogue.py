@@ -35,6 +35,7 @@ from footfall.sources import csv_files, ledger, tables, versions
 from footfall.sources.captures import captures_from_events, on_dates
 from footfall.sources.scratch import scratch_path, stored
 from footfall.streaming import events as feed
+from footfall.streaming.ordering import in_order
 from footfall.streaming.sessions import streamed_bursts
 
 # The view has no camera 94, and visitors come minutes apart.
@@ -619,6 +620,24 @@ def q_streamed_bursts(spark, sf_dir):
     return found.select("event_type", F.unix_millis("first").alias("first_ms"), F.unix_millis("last").alias("last_ms"), "events")
 
 
+@query
+def q_ordered_feed(spark, sf_dir):
+    """Messages of four partitions that come out of order, some never, in two parts and a closing one, each read by a new stream."""
+    folder = scratch_path(spark, "ordered")
+    event = F.col("event_id")
+    sent = table(spark, sf_dir, "events").where(event % 97 != 5).select(
+        (event % 4).alias("partition"), clock.truncating_div(event, 4).alias("offset"), F.col("event_type").alias("value")
+    )
+    late = F.pmod(F.xxhash64("partition", "offset"), F.lit(3)) == 0
+    close = spark.range(4).select(F.col("id").alias("partition"), F.lit(None).cast("long").alias("offset"), F.lit("").alias("value"))
+    for part in (sent.where(~late), sent.where(late), close):
+        part.repartition(4, F.xxhash64("offset", "value")).write.mode("append").parquet(f"{folder}/in")
+        rows = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/in")
+        writer = in_order(rows, patience=1_000_000).writeStream.format("parquet").option("path", f"{folder}/out")
+        writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out")
+
+
 @query
 def q_published_once(spark, sf_dir):
     """The feed published from a stream whose sink fails once after it wrote a batch."""
