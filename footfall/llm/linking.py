@@ -1,20 +1,27 @@
 """Links between texts with equal sketches, with work in proportion to the texts where they are alike.
 
 Texts with the same sketch in the same place of their lists share a bucket. All
-pairs of a bucket would be quadratic in a group of copies. So every member is
-compared with two pivots of its bucket first, and in larger buckets whose members
-are not all joined by then with some more. What the links join, over all buckets,
-gets one label, and two members with one label need no comparison any more.
-
-At last all pairs of a bucket that have different labels and were not compared
-yet are, in blocks of members that are dealt to tasks. A count of hashed parts of
-each text gives a bound that sorts out most of them before their texts are read.
-That is quadratic only in members that share a sketch but are not alike. No member
-is dropped, no bucket is capped, and no sketch has to agree besides the shared one.
+pairs of a bucket would be quadratic in a group of copies. So every text is
+compared with one other at first: of the least texts of its buckets the one that
+it shares most buckets with. What the links join gets one label, and two texts
+with one label need no comparison any more.
+
+Buckets that hold several labels go on. A count of hashed parts of each text
+gives a bound that sorts out, before any text is read, most pairs that are not
+similar. Members are dealt to blocks by their size, as sizes that are too far
+apart need not meet, and blocks to tasks. In each turn a text is compared with
+one member of another label that the bound lets through, the likeliest first, so
+a turn has no more pairs than there are texts, and labels at least halve where
+texts are alike. When a turn joins little, all pairs that are left are compared.
+
+Blocks meet in pairs, so a bucket of texts that share a sketch but are not alike
+is quadratic in those bounds, though not in rows. No member is dropped, no bucket
+is capped, and no sketch has to agree besides the shared one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -25,17 +32,26 @@ from pyspark.sql import functions as F
 from footfall.llm.components import components
 from footfall.sources.scratch import stored
 
-#: Parts of a bucket with two pivots each, for each round of pivots.
-PARTS = (1, 4)
-#: Members of a block; buckets of one block take no further pivots before all pairs.
-BLOCK = 128
-#: Bins of a bag.
-BINS = 256
+#: Turns with one pair a text, at most; what they leave is compared in full.
+TURNS = 6
+#: A turn that joins less than one pair of so many is the last before all pairs.
+WORTH = 4
+#: Members of a block, and the bytes of its bags from which on it has fewer.
+BLOCK, BLOCK_BYTES = 128, 1 << 19
+#: Least and most bins of a bag, powers of two; in between there are two to four for each part of a text.
+BINS, MOST_BINS = 64, 1 << 16
 
 
 def bag(values: np.ndarray) -> bytes:
     """How many of the hashes fall into each bin, up to 255."""
-    return np.minimum(np.bincount((values % values.dtype.type(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+    bins = min(max(1 << (2 * len(values)).bit_length(), BINS), MOST_BINS)
+    return np.minimum(np.bincount((values % values.dtype.type(bins)).astype(np.int64), minlength=bins), 255).astype(np.uint8).tobytes()
+
+
+def _level(bags: list[bytes], bins: int) -> np.ndarray:
+    """Bags in rows, wider ones folded to ``bins``."""
+    rows = (np.frombuffer(v, np.uint8).reshape(-1, bins).sum(axis=0, dtype=np.int64) for v in bags)
+    return np.stack([np.minimum(row, 255).astype(np.uint8) for row in rows])
 
 
 def _common(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -44,84 +60,126 @@ def _common(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.nd
     return least + np.minimum((n - x.sum(axis=1, dtype=np.int64))[:, None], (m - y.sum(axis=1, dtype=np.int64))[None, :])
 
 
-def _unlike(alike):
-    """Pairs ``(a, b)`` of two blocks that have different labels and can be similar."""
+def _chance(a: np.ndarray, b: np.ndarray, turn: int) -> np.ndarray:
+    """A number from 0 to 1 for each pair, another one in each turn."""
+    mark = (a[:, None] ^ b[None, :]).astype(np.uint64) + np.uint64(turn)
+    mark = (mark ^ (mark >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (mark >> np.uint64(11)) / float(1 << 53)
+
+
+def _unlike(alike, turn: int | None):
+    """Pairs ``(a, b, rank)`` of two blocks that have different labels and can be similar.
+
+    With a ``turn`` only the one of highest rank for each ``a``, of either block.
+    """
 
     def run(batches):
         for batch in batches:
             for own, left, right in zip(batch.column("own").to_pylist(), batch.column("left"), batch.column("right")):
                 (a, p), (b, q) = ([side.values.field(c).to_numpy() for c in ("id", "label")] for side in (left, right))
                 want = p[:, None] != q[None, :]
-                if own:
-                    want &= a[:, None] < b[None, :]
+                if not want.any():
+                    continue
+                rank = None
                 if alike is not None:
                     n, m = (side.values.field("size").to_numpy() for side in (left, right))
-                    x, y = (np.stack([np.frombuffer(v, np.uint8) for v in side.values.field("bag").to_pylist()]) for side in (left, right))
-                    want &= alike(n[:, None], m[None, :], _common(x, y, n, m))
-                i, j = np.nonzero(want)
-                i, j = a[i], b[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i, j)), pa.array(np.maximum(i, j))], ["a", "b"])
+                    x, y = (side.values.field("bag").to_pylist() for side in (left, right))
+                    bins = min(len(v) for v in (*x, *y))
+                    common = _common(_level(x, bins), _level(y, bins), n, m)
+                    want &= alike(n[:, None], m[None, :], common)
+                    rank = common / np.maximum(n[:, None], m[None, :])
+                if turn is None:
+                    i, j = np.nonzero(want & (a[:, None] < b[None, :]) if own else want)
+                    i, j, rank = a[i], b[j], np.zeros(len(i))
+                    i, j = np.minimum(i, j), np.maximum(i, j)
+                else:
+                    rank = np.where(want, _chance(a, b, turn) if turn or rank is None else rank, -1.0)
+                    j, i = rank.argmax(axis=1), rank.argmax(axis=0)
+                    high, wide = rank.max(axis=1), rank.max(axis=0)
+                    # The members of one block are on either side.
+                    i, j, rank = (np.concatenate(c) for c in ((a, b[:0] if own else b), (b[j], a[:0] if own else a[i]), (high, wide[:0] if own else wide)))
+                    i, j, rank = i[rank >= 0], j[rank >= 0], rank[rank >= 0]
+                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(rank)], ["a", "b", "rank"])
 
     return run
 
 
-def _all_pairs(here: DataFrame, bags: DataFrame | None, alike) -> DataFrame:
-    """Pairs of members of a bucket, rows ``(bucket, id, label, n)``, that have different labels."""
-    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).alias("block")
-    columns = ["id", "label"]
-    if bags is not None:
-        here, columns = here.join(bags, "id"), [*columns, "size", "bag"]
-    packed = here.groupBy("bucket", block).agg(F.collect_list(F.struct(*columns)).alias("left"))
+def _candidates(here: DataFrame, bags: DataFrame | None, alike, similarity: float, turn: int | None) -> DataFrame:
+    """Pairs of members of a bucket, rows ``(bucket, id, label)``, that have different labels, one a text or all."""
+    if bags is None:
+        columns, here = ["id", "label"], here.select("bucket", "id", "label", F.lit(0).alias("band"))
+    else:
+        # Sizes of similar texts lie in one band or in two neighbours.
+        width = max(-math.log(similarity), 1e-6) * (1 + 1e-9)
+        columns = ["id", "label", "size", "bag"]
+        here = here.join(bags, "id").select("bucket", *columns, F.floor(F.log("size") / width).alias("band"))
+    size = F.count("*") / BLOCK if bags is None else F.greatest(F.count("*") / BLOCK, F.sum(F.length("bag")) / BLOCK_BYTES)
+    held = here.groupBy("bucket", "band").agg(F.ceil(size).alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
+    packed = here.join(held, ["bucket", "band"]).groupBy("bucket", "band", block).agg(F.collect_list(F.struct(*columns)).alias("left"))
     packed = stored(packed, "blocks")
-    other = packed.select("bucket", F.col("block").alias("with"), F.col("left").alias("right"))
-    both = packed.join(other, "bucket").where("block <= with").repartition("bucket", "block", "with")
-    both = both.select((F.col("block") == F.col("with")).alias("own"), "left", "right")
-    return both.mapInArrow(_unlike(alike), "a bigint, b bigint").distinct()
+    other = packed.select(
+        "bucket", F.col("band").alias("to"), F.col("block").alias("with"), F.col("left").alias("right"),
+        F.explode(F.array("band", F.col("band") - 1)).alias("band"),
+    )
+    both = packed.join(other, ["bucket", "band"]).where("to > band OR block <= with").repartition("bucket", "band", "block", "to", "with")
+    own = (F.col("band") == F.col("to")) & (F.col("block") == F.col("with"))
+    pairs = both.select(own.alias("own"), "left", "right").mapInArrow(_unlike(alike, turn), "a bigint, b bigint, rank double")
+    if turn is not None:
+        best = pairs.groupBy("a").agg(F.max(F.struct("rank", "b")).alias("best"))
+        pairs = best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"))
+    return pairs.select("a", "b").distinct()
+
+
+def shared(signed: DataFrame) -> DataFrame:
+    """Members ``(bucket, id, first)`` of the buckets of several texts, with the least id of the bucket.
+
+    ``signed`` has rows ``(id, sketches)``, one a text.
+    """
+    entries = signed.select("id", F.explode(F.array_distinct("sketches")).alias("bucket"))
+    met = entries.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
+    return stored(entries.join(stored(met.select("bucket", "first"), "met"), "bucket"), "members")
 
 
-def pivot_links(
-    signed: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None, alike: Callable | None = None
+def links_among(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None,
+    alike: Callable | None = None, similarity: float = 1.0,
 ) -> DataFrame:
-    """Verified pairs ``(a, b)``, a < b, among ``signed``, rows ``(id, sketches)`` with lists of one length.
+    """Verified pairs ``(a, b)``, a < b, among the ``members`` of buckets.
 
     ``verify`` gets distinct pairs and returns those that are similar. The links
     join what the similar pairs among all pairs with a common sketch would join.
-    ``bags`` has ``(id, size, bag)`` of every text that shares a sketch, and
-    ``alike`` tells by two sizes and the most that both can have in common if
-    ``verify`` could accept the pair.
+    ``bags`` has ``(id, size, bag)`` of every member. ``alike`` tells by two sizes
+    and the most that both can have in common if ``verify`` could accept the pair;
+    of such a pair one size is at least ``similarity`` of the other.
     """
-    signed = stored(signed.select("id", "sketches"), "signed")
-    entries = signed.select("id", F.explode("sketches").alias("bucket")).distinct()
-    met = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    here = stored(entries.join(met, "bucket").withColumn("label", F.col("id")), "members")
-    links, checked = None, None
-    for turn, parts in enumerate((*PARTS, None)):
-        if parts is None:
-            pairs = _all_pairs(here, bags, alike)
-        else:
-            # XOR with the bucket orders ids differently in each bucket, and can be undone by another.
-            mark = F.col("id").bitwiseXOR(F.col("bucket"))
-            many = here if not turn else here.where(F.col("n") > BLOCK)
-            many = many.withColumn("part", F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(parts)))
-            # The least id itself is the first pivot at first: copies in many buckets then meet in the same pairs.
-            first, last = (F.struct(m.alias("mark"), "id", "label") for m in (mark if turn else F.col("id"), mark))
-            ends = many.groupBy("bucket", "part").agg(F.min(first).alias("low"), F.max(last).alias("high"))
-            ends = ends.select("bucket", F.explode(F.array("low", "high")).alias("end"))
-            ends = ends.select("bucket", F.col("end.id").alias("pivot"), F.col("end.label").alias("own"))
-            star = many.join(ends.distinct(), "bucket").where("label <> own")
-            pairs = star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(verify(pairs), "links")
-        links = found if links is None else links.unionByName(found)
-        if parts is None:
-            return links
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        # On go buckets that are not joined yet; of two members, both were compared.
+    often = members.where("id <> first").groupBy("id", "first").agg(F.count("*").alias("n"))
+    best = often.groupBy("id").agg(F.max(F.struct("n", F.bitwise_not("first").alias("least"))).alias("best"))
+    pairs = stored(best.select(F.bitwise_not("best.least").alias("a"), F.col("id").alias("b")), "pairs")
+    links = stored(verify(pairs), "links")
+    checked, here = pairs, members.select("bucket", "id")
+    turns = iter((*range(1, TURNS), None))
+    turn: int | None = 0
+    while True:
         named = components(links).withColumnRenamed("component", "joined")
-        told = here.where("n > 2").join(named, "id", "left").withColumn("label", F.coalesce("joined", "id")).drop("joined")
+        told = here.select("bucket", "id").join(named, "id", "left")
+        told = told.select("bucket", "id", F.coalesce("joined", "id").alias("label"))
         split = told.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         here = stored(told.join(split.select("bucket"), "bucket", "left_semi"), "split")
         if here.isEmpty():
             return links
+        pairs = _candidates(here, bags, alike, similarity, turn).join(checked, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        found = stored(verify(pairs), "links")
+        links, checked = links.unionByName(found), checked.unionByName(pairs)
+        if turn is None:
+            return links
+        turn = next(turns) if found.count() * WORTH >= pairs.count() > 0 else None
+
+
+def pivot_links(
+    signed: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None,
+    alike: Callable | None = None, similarity: float = 1.0,
+) -> DataFrame:
+    """``links_among`` the members of all buckets of ``signed``, rows ``(id, sketches)`` with lists of one length."""
+    return links_among(shared(signed), verify, bags, alike, similarity)

@@ -25,15 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.linking import bag, pivot_links
+from footfall.llm.linking import bag, links_among, shared
 from footfall.llm.words import Words, mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
 
 K = 5
 SKETCHES = 24
 SIMILARITY = 0.8
-#: Candidates, of two numbers each, up to which they are broadcast.
-SENT_IDS = 500_000
 
 _U = np.uint64
 _A = mix(np.arange(SKETCHES).astype(_U), 11) | _U(1)
@@ -190,7 +188,8 @@ def _aligned(similarity: float):
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(doc_id, class_id, kept, n_links, n_words)``: ``class_id`` is the least id of the class, which is kept.
 
-    ``n_links`` counts the different texts that were found similar to the text.
+    ``n_links`` counts the links that joined the text to others of its class: not
+    every similar text, as texts that are joined by then are not compared.
     """
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -200,12 +199,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     texts = stored(texts, "different-texts")
     # Texts of candidates only, one document for each different text.
-    members = texts.select("id", "doc_id", F.explode("sketches").alias("bucket"))
-    met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    chosen = stored(members.join(met, "bucket").select("id", "doc_id").distinct(), "candidates")
-    # Their texts are only shuffled where the ids are too many to be sent to every executor.
-    few = F.broadcast(chosen) if chosen.count() <= SENT_IDS else chosen
-    packed = docs.join(few, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary, bag binary")
+    members = shared(texts)
+    chosen = stored(texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "doc_id"), "candidates")
+    # The file of candidates has a size that Spark knows: it is broadcast below Spark's own threshold only.
+    packed = docs.join(chosen, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary, bag binary")
     packed = stored(packed.dropDuplicates(["id"]), "words")
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -221,10 +218,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         return longer - common <= ((1 - similarity) * longer + 1e-9).astype(np.int64)
 
     bags = packed.select("id", (F.length("words") / 4).cast("bigint").alias("size"), "bag")
-    links = stored(pivot_links(texts.select("id", "sketches"), verify, bags, alike), "near-links")
+    links = stored(links_among(members, verify, bags, alike, similarity), "near-links")
     # Rows that repeat an id tie their texts together.
-    shared = rows.where("n_words > 0").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
-    again = rows.where("n_words > 0").join(shared.where("a <> b"), "doc_id").select("a", F.col("id").alias("b"))
+    tied = rows.where("n_words > 0").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    again = rows.where("n_words > 0").join(tied.where("a <> b"), "doc_id").select("a", F.col("id").alias("b"))
     named = components(links.unionByName(again))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     told = rows.where("n_words > 0").select("doc_id", "id", "n_words").join(named, "id", "left").join(degree, "id", "left")

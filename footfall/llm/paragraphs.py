@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import components
-from footfall.llm.linking import bag, pivot_links
-from footfall.llm.nearcopies import SENT_IDS, K, fingerprints, kmers
+from footfall.llm.linking import bag, links_among, shared
+from footfall.llm.nearcopies import K, fingerprints, kmers
 from footfall.llm.words import mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
 
@@ -144,16 +144,13 @@ def repeated_paragraphs(
     # Lines shorter than a shingle are one, and meet their equals by id.
     texts = rows.where(F.col("n_words") >= K).groupBy("id").agg(*(F.first(f"b{b}").alias(f"b{b}") for b in range(BANDS)))
     texts = stored(texts.select("id", F.array(*(f"b{b}" for b in range(BANDS))).alias("sketches")), "signed")
-    members = texts.select("id", F.explode("sketches").alias("bucket"))
-    met = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = members.join(met, "bucket").select("id").distinct()
+    members = shared(texts)
     # Each different candidate once, from the first document that has it.
     place = F.struct("doc_id", "para")
-    chosen = rows.join(members, "id", "left_semi").groupBy("id").agg(F.min(place).alias("at"))
-    chosen = stored(chosen, "candidates")
+    chosen = rows.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min(place).alias("at"))
     wanted = chosen.groupBy("at.doc_id").agg(F.collect_list(F.struct("id", "at.para")).alias("wanted"))
-    # Texts are only shuffled where the places of candidates are too many to be sent to every executor.
-    wanted = F.broadcast(wanted) if chosen.count() <= SENT_IDS else wanted
+    # The file of places has a size that Spark knows: it is broadcast below Spark's own threshold only.
+    wanted = stored(wanted, "candidates")
     packed = docs.join(wanted, "doc_id").select("text", "wanted").mapInArrow(_shingles, "id bigint, shingles binary, bag binary")
     packed = stored(packed.dropDuplicates(["id"]), "shingles")
 
@@ -169,7 +166,7 @@ def repeated_paragraphs(
         return common * (1 + similarity) >= similarity * (n + m) - 1e-6
 
     bags = packed.select("id", (F.length("shingles") / 8).cast("bigint").alias("size"), "bag")
-    named = components(pivot_links(texts, verify, bags, alike))
+    named = components(links_among(members, verify, bags, alike, similarity))
     told = rows.select("doc_id", "para", "id", "n_words").distinct().join(named, "id", "left")
     told = stored(told.select("doc_id", "para", "n_words", F.coalesce("component", "id").alias("cluster")), "clustered")
     cluster = told.groupBy("cluster").agg(
