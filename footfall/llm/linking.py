@@ -9,10 +9,12 @@ with one label need no comparison any more.
 Buckets that hold several labels go on. A count of hashed parts of each text
 gives a bound that sorts out, before any text is read, most pairs that are not
 similar. Members are dealt to blocks by their size, as sizes that are too far
-apart need not meet, and blocks to tasks. In each turn a text is compared with
-one member of another label that the bound lets through, the likeliest first, so
-a turn has no more pairs than there are texts, and labels at least halve where
-texts are alike. When a turn joins little, all pairs that are left are compared.
+apart need not meet, and blocks to tasks. Where the bound leaves no more pairs of
+two blocks than these have members, all are compared, and the blocks are done.
+Elsewhere a text is compared with one member of another label a turn, the
+likeliest first, so a turn has no more pairs than there are members, and labels
+at least halve where texts are alike; only buckets with such blocks have another
+turn. When a turn joins little, all pairs that are left are compared.
 
 Blocks meet in pairs, so a bucket of texts that share a sketch but are not alike
 is quadratic in those bounds, though not in rows. No member is dropped, no bucket
@@ -29,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.components import components
+from footfall.llm.components import components, forest
 from footfall.sources.scratch import stored
 
 #: Turns with one pair a text, at most; what they leave is compared in full.
 TURNS = 6
 #: A turn that joins less than one pair of so many is the last before all pairs.
 WORTH = 4
+#: Pairs that a task joins before the others are heard of.
+EDGES = 1 << 20
 #: Members of a block, and the bytes of its bags from which on it has fewer.
 BLOCK, BLOCK_BYTES = 128, 1 << 19
 #: Least and most bins of a bag, powers of two; in between there are two to four for each part of a text.
@@ -68,16 +72,24 @@ def _chance(a: np.ndarray, b: np.ndarray, turn: int) -> np.ndarray:
 
 
 def _unlike(alike, turn: int | None):
-    """Pairs ``(a, b, rank)`` of two blocks that have different labels and can be similar.
+    """Pairs of two blocks that have different labels and can be similar, rows ``(bucket, a, b, p, q, rank, whole)``.
 
-    With a ``turn`` only the one of highest rank for each ``a``, of either block.
+    A pair belongs to the bucket of its first common sketch and is passed over
+    in the others. ``p`` and ``q`` are the labels. Pairs are all there, and
+    ``whole``, if they are no more than the members of both blocks, or without
+    a ``turn``. Else each member, as ``a``, has the one pair of highest rank.
     """
 
     def run(batches):
         for batch in batches:
-            for own, left, right in zip(batch.column("own").to_pylist(), batch.column("left"), batch.column("right")):
+            places = zip(batch.column("bucket").to_pylist(), batch.column("own").to_pylist(), batch.column("left"), batch.column("right"))
+            for bucket, own, left, right in places:
                 (a, p), (b, q) = ([side.values.field(c).to_numpy() for c in ("id", "label")] for side in (left, right))
                 want = p[:, None] != q[None, :]
+                if want.any():
+                    u, v = (side.values.field("sketches").flatten().to_numpy().reshape(len(side.values), -1) for side in (left, right))
+                    first = (u[:, None, :] == v[None, :, :]).argmax(axis=2)
+                    want &= u[np.arange(len(u))[:, None], first] == bucket
                 if not want.any():
                     continue
                 rank = None
@@ -88,30 +100,37 @@ def _unlike(alike, turn: int | None):
                     common = _common(_level(x, bins), _level(y, bins), n, m)
                     want &= alike(n[:, None], m[None, :], common)
                     rank = common / np.maximum(n[:, None], m[None, :])
-                if turn is None:
-                    i, j = np.nonzero(want & (a[:, None] < b[None, :]) if own else want)
-                    i, j, rank = a[i], b[j], np.zeros(len(i))
-                    i, j = np.minimum(i, j), np.maximum(i, j)
+                once = want & (a[:, None] < b[None, :]) if own else want
+                whole = turn is None or np.count_nonzero(once) <= len(a) + (0 if own else len(b))
+                if whole:
+                    i, j = np.nonzero(once)
+                    i, j, p, q, rank = a[i], b[j], p[i], q[j], np.zeros(len(i))
                 else:
                     rank = np.where(want, _chance(a, b, turn) if turn or rank is None else rank, -1.0)
-                    j, i = rank.argmax(axis=1), rank.argmax(axis=0)
-                    high, wide = rank.max(axis=1), rank.max(axis=0)
-                    # The members of one block are on either side.
-                    i, j, rank = (np.concatenate(c) for c in ((a, b[:0] if own else b), (b[j], a[:0] if own else a[i]), (high, wide[:0] if own else wide)))
-                    i, j, rank = i[rank >= 0], j[rank >= 0], rank[rank >= 0]
-                yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(rank)], ["a", "b", "rank"])
+                    x, y = (np.arange(len(a)), rank.argmax(axis=1)), (rank.argmax(axis=0), np.arange(len(b)))
+                    high, wide = rank[x], rank[y]
+                    if own:  # The members of one block are on either side.
+                        y, wide = (y[0][:0], y[1][:0]), wide[:0]
+                    i, j = np.concatenate([a[x[0]], b[y[1]]]), np.concatenate([b[x[1]], a[y[0]]])
+                    p, q, rank = np.concatenate([p[x[0]], q[y[1]]]), np.concatenate([q[x[1]], p[y[0]]]), np.concatenate([high, wide])
+                    i, j, p, q, rank = (c[rank >= 0] for c in (i, j, p, q, rank))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(i), bucket)), *(pa.array(c) for c in (i, j, p, q, rank)), pa.array(np.full(len(i), whole))],
+                    ["bucket", "a", "b", "p", "q", "rank", "whole"],
+                )
 
     return run
 
 
-def _candidates(here: DataFrame, bags: DataFrame | None, alike, similarity: float, turn: int | None) -> DataFrame:
-    """Pairs of members of a bucket, rows ``(bucket, id, label)``, that have different labels, one a text or all."""
+def _candidates(here: DataFrame, signs: DataFrame, bags: DataFrame | None, alike, similarity: float, turn: int | None) -> DataFrame:
+    """What ``_unlike`` gives for the members of each bucket, rows ``(bucket, id, label)``."""
+    here = here.join(signs, "id")
     if bags is None:
-        columns, here = ["id", "label"], here.select("bucket", "id", "label", F.lit(0).alias("band"))
+        columns, here = ["id", "label", "sketches"], here.select("bucket", "id", "label", "sketches", F.lit(0).alias("band"))
     else:
         # Sizes of similar texts lie in one band or in two neighbours.
         width = max(-math.log(similarity), 1e-6) * (1 + 1e-9)
-        columns = ["id", "label", "size", "bag"]
+        columns = ["id", "label", "sketches", "size", "bag"]
         here = here.join(bags, "id").select("bucket", *columns, F.floor(F.log("size") / width).alias("band"))
     size = F.count("*") / BLOCK if bags is None else F.greatest(F.count("*") / BLOCK, F.sum(F.length("bag")) / BLOCK_BYTES)
     held = here.groupBy("bucket", "band").agg(F.ceil(size).alias("blocks"))
@@ -124,11 +143,22 @@ def _candidates(here: DataFrame, bags: DataFrame | None, alike, similarity: floa
     )
     both = packed.join(other, ["bucket", "band"]).where("to > band OR block <= with").repartition("bucket", "band", "block", "to", "with")
     own = (F.col("band") == F.col("to")) & (F.col("block") == F.col("with"))
-    pairs = both.select(own.alias("own"), "left", "right").mapInArrow(_unlike(alike, turn), "a bigint, b bigint, rank double")
-    if turn is not None:
-        best = pairs.groupBy("a").agg(F.max(F.struct("rank", "b")).alias("best"))
-        pairs = best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"))
-    return pairs.select("a", "b").distinct()
+    kinds = "bucket bigint, a bigint, b bigint, p bigint, q bigint, rank double, whole boolean"
+    return both.select("bucket", own.alias("own"), "left", "right").mapInArrow(_unlike(alike, turn), kinds)
+
+
+def _once(offers: DataFrame) -> DataFrame:
+    """Distinct pairs ``(a, b, low, high, whole)``, a < b, with both labels: all whole ones, and one of the others a text."""
+    best = offers.where("NOT whole").groupBy("a").agg(F.max(F.struct("rank", "b", "p", "q")).alias("best"))
+    best = best.select("a", "best.b", "best.p", "best.q", F.lit(False).alias("whole"))
+    every = offers.where("whole").select("a", "b", "p", "q", "whole").unionByName(best)
+    ends = (end(*c).alias(n) for c, names in ((("a", "b"), ("a", "b")), (("p", "q"), ("low", "high"))) for end, n in zip((F.least, F.greatest), names))
+    return every.select(*ends, "whole").groupBy("a", "b", "low", "high").agg(F.max("whole").alias("whole"))
+
+
+def _merged(pairs: DataFrame, rows: int) -> DataFrame:
+    """``(id, component)`` of pairs ``(a, b)``, some of which tasks of ``EDGES`` pairs or so have joined before."""
+    return components(pairs.coalesce(1 + rows // EDGES).mapInArrow(forest, "a bigint, b bigint"))
 
 
 def shared(signed: DataFrame) -> DataFrame:
@@ -142,44 +172,63 @@ def shared(signed: DataFrame) -> DataFrame:
 
 
 def links_among(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None,
-    alike: Callable | None = None, similarity: float = 1.0,
-) -> DataFrame:
-    """Verified pairs ``(a, b)``, a < b, among the ``members`` of buckets.
-
-    ``verify`` gets distinct pairs and returns those that are similar. The links
-    join what the similar pairs among all pairs with a common sketch would join.
-    ``bags`` has ``(id, size, bag)`` of every member. ``alike`` tells by two sizes
-    and the most that both can have in common if ``verify`` could accept the pair;
-    of such a pair one size is at least ``similarity`` of the other.
+    members: DataFrame, signed: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None,
+    alike: Callable | None = None, similarity: float = 1.0, given: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs ``(a, b)``, a < b, among the ``members`` of buckets, and the ``(id, component)`` of all linked ids.
+
+    ``signed`` has the rows ``(id, sketches)`` that ``members`` were made of.
+    ``verify`` gets distinct pairs and returns those that are similar, with all
+    their columns. The links join what the similar pairs among all pairs with a
+    common sketch would join, together with the pairs ``given``, which are not
+    among the links. ``bags`` has ``(id, size, bag)`` of every member. ``alike``
+    tells by two sizes and the most that both can have in common if ``verify``
+    could accept the pair; of such a pair one size is at least ``similarity`` of
+    the other.
     """
     often = members.where("id <> first").groupBy("id", "first").agg(F.count("*").alias("n"))
     best = often.groupBy("id").agg(F.max(F.struct("n", F.bitwise_not("first").alias("least"))).alias("best"))
-    pairs = stored(best.select(F.bitwise_not("best.least").alias("a"), F.col("id").alias("b")), "pairs")
-    links = stored(verify(pairs), "links")
-    checked, here = pairs, members.select("bucket", "id")
+    checked = stored(best.select(F.bitwise_not("best.least").alias("a"), F.col("id").alias("b")), "pairs")
+    links = stored(verify(checked), "links")
+    known = links if given is None else stored(links.unionByName(given), "known")
+    labels = _merged(known, known.count())
+    here = members.select("bucket", "id").join(labels, "id", "left")
+    here = here.select("bucket", "id", F.coalesce("component", "id").alias("label"))
     turns = iter((*range(1, TURNS), None))
     turn: int | None = 0
     while True:
-        named = components(links).withColumnRenamed("component", "joined")
-        told = here.select("bucket", "id").join(named, "id", "left")
-        told = told.select("bucket", "id", F.coalesce("joined", "id").alias("label"))
-        split = told.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        here = stored(told.join(split.select("bucket"), "bucket", "left_semi"), "split")
+        split = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        here = stored(here.join(split.select("bucket"), "bucket", "left_semi"), "split")
         if here.isEmpty():
-            return links
-        pairs = _candidates(here, bags, alike, similarity, turn).join(checked, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
+            return links, labels
+        if turn == 0:
+            signs = stored(signed.select("id", "sketches").join(here.select("id").distinct(), "id", "left_semi"), "signs")
+        offers = stored(_candidates(here, signs, bags, alike, similarity, turn), "offers")
+        pairs = stored(_once(offers).join(checked, ["a", "b"], "left_anti"), "pairs")
         found = stored(verify(pairs), "links")
-        links, checked = links.unionByName(found), checked.unionByName(pairs)
-        if turn is None:
-            return links
-        turn = next(turns) if found.count() * WORTH >= pairs.count() > 0 else None
+        links, checked = links.unionByName(found.select("a", "b")), checked.unionByName(pairs.select("a", "b"))
+        # Classes are joined by their labels: a graph of what is new, not of all links.
+        again = _merged(found.select(F.col("low").alias("a"), F.col("high").alias("b")), found.count())
+        moved = again.select(F.col("id").alias("component"), F.col("component").alias("joined"))
+        more = again.join(labels.select("id"), "id", "left_anti")
+        labels = labels.join(moved, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
+        labels = stored(labels.unionByName(more), "labels")
+        cut = stored(offers.where("NOT whole").select("bucket").distinct(), "cut")
+        if cut.isEmpty():
+            return links, labels
+        here = here.join(cut, "bucket", "left_semi").join(moved.withColumnRenamed("component", "label"), "label", "left")
+        here = here.select("bucket", "id", F.coalesce("joined", "label").alias("label"))
+        some, worth = (rows.where("NOT whole").count() for rows in (pairs, found))
+        turn = next(turns) if worth * WORTH >= some > 0 else None
 
 
 def pivot_links(
     signed: DataFrame, verify: Callable[[DataFrame], DataFrame], bags: DataFrame | None = None,
     alike: Callable | None = None, similarity: float = 1.0,
 ) -> DataFrame:
-    """``links_among`` the members of all buckets of ``signed``, rows ``(id, sketches)`` with lists of one length."""
-    return links_among(shared(signed), verify, bags, alike, similarity)
+    """The links of ``links_among`` for all buckets of ``signed``, rows ``(id, sketches)``; ``verify`` may return ``(a, b)`` alone."""
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        return pairs.join(verify(pairs.select("a", "b")).select("a", "b"), ["a", "b"], "left_semi")
+
+    return links_among(shared(signed), signed, kept, bags, alike, similarity)[0]

@@ -24,7 +24,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.components import components
 from footfall.llm.linking import bag, links_among, shared
 from footfall.llm.words import Words, mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
@@ -180,7 +179,7 @@ def _aligned(similarity: float):
                 a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
                 most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
                 keep.append(apart(a, b) <= most and edits(a, b, most) <= most)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+            yield batch.drop_columns(["left", "right"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -211,18 +210,17 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         right = packed.select(F.col("id").alias("b"), F.col("words").alias("right"), size.alias("n_right"))
         near = F.least("n_left", "n_right") >= F.greatest("n_left", "n_right") * F.lit(similarity)
         both = pairs.join(left, "a").join(right, "b").where(near)
-        return both.select("a", "b", "left", "right").mapInArrow(_aligned(similarity), "a bigint, b bigint")
+        return both.select(*pairs.columns, "left", "right").mapInArrow(_aligned(similarity), pairs.schema)
 
     def alike(n, m, common):
         longer = np.maximum(n, m)
         return longer - common <= ((1 - similarity) * longer + 1e-9).astype(np.int64)
 
     bags = packed.select("id", (F.length("words") / 4).cast("bigint").alias("size"), "bag")
-    links = stored(links_among(members, verify, bags, alike, similarity), "near-links")
     # Rows that repeat an id tie their texts together.
     tied = rows.where("n_words > 0").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"))
     again = rows.where("n_words > 0").join(tied.where("a <> b"), "doc_id").select("a", F.col("id").alias("b"))
-    named = components(links.unionByName(again))
+    links, named = links_among(members, texts, verify, bags, alike, similarity, again)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     told = rows.where("n_words > 0").select("doc_id", "id", "n_words").join(named, "id", "left").join(degree, "id", "left")
     told = told.withColumn("group", F.coalesce("component", "id"))

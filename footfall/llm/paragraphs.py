@@ -23,7 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.components import components
 from footfall.llm.linking import bag, links_among, shared
 from footfall.llm.nearcopies import K, fingerprints, kmers
 from footfall.llm.words import mix, pieces, runs, split_words
@@ -124,7 +123,7 @@ def _similar(similarity: float):
                 a, b = np.frombuffer(x, _U), np.frombuffer(y, _U)
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(common >= similarity * (len(a) + len(b) - common) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+            yield batch.drop_columns(["left", "right"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -160,13 +159,13 @@ def repeated_paragraphs(
         right = packed.select(F.col("id").alias("b"), F.col("shingles").alias("right"), size.alias("n_right"))
         near = F.least("n_left", "n_right") >= F.greatest("n_left", "n_right") * F.lit(similarity)
         both = pairs.join(left, "a").join(right, "b").where(near)
-        return both.select("a", "b", "left", "right").mapInArrow(_similar(similarity), "a bigint, b bigint")
+        return both.select(*pairs.columns, "left", "right").mapInArrow(_similar(similarity), pairs.schema)
 
     def alike(n, m, common):
         return common * (1 + similarity) >= similarity * (n + m) - 1e-6
 
     bags = packed.select("id", (F.length("shingles") / 8).cast("bigint").alias("size"), "bag")
-    named = components(links_among(members, verify, bags, alike, similarity))
+    named = links_among(members, texts, verify, bags, alike, similarity)[1]
     told = rows.select("doc_id", "para", "id", "n_words").distinct().join(named, "id", "left")
     told = stored(told.select("doc_id", "para", "n_words", F.coalesce("component", "id").alias("cluster")), "clustered")
     cluster = told.groupBy("cluster").agg(
