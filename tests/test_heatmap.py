@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from data import at, captures, rows_of  # noqa: E402
 
 from footfall.functions.buckets import OFFSET_RANGES  # noqa: E402
+from footfall.operators import heatmap  # noqa: E402
 from footfall.operators.heatmap import path_heatmap  # noqa: E402
 
 AGES = [(0, 20, "0-20"), (21, 39, "21-39"), (40, 65, "40-65"), (66, 999, "65+")]
@@ -98,6 +99,19 @@ def test_against_all_pairs(spark, mode, seed):
     assert got == rule(df.collect(), mode)
 
 
+@pytest.mark.parametrize("mode", ["elapsed", "fractional"])
+def test_blocks_are_dealt_by_their_number(spark, monkeypatch, mode):
+    """Many captures take more tasks, however few bytes are shuffled; the rows are the same."""
+    df = captures(spark, random_rows(1)).repartition(3)
+    before = sorted(map(repr, path_heatmap(df, mode).collect()))
+    n = df.where("profile_id IS NOT NULL AND capture_time IS NOT NULL").count()
+    monkeypatch.setattr(heatmap, "ENTRIES", 3)
+    dealt = path_heatmap(df, mode)
+    assert n > 3 * spark.sparkContext.defaultParallelism
+    assert f", {-(-n // 3)}), REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, dealt.collect())) == before
+
+
 def test_equal_base_captures(spark):
     df = captures(spark, [(1, "10:00:00", 1), (1, "10:00:00", 1)])
     assert path_heatmap(df, "boundary").count() == 1
