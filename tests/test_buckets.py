@@ -60,3 +60,14 @@ def test_same_rows_as_without_buckets(spark, tables):
     assert files <= 4
     stay = spark.table("uncut.stay_time").drop(DATE_PARTITION, LOAD_TIME)
     assert len(exchanges_below_joins(new_or_return(stay, stay))[0]) >= 2  # what buckets spare
+
+
+def test_buckets_are_shuffled_for_writing(spark, tables):
+    """Rows that come in buckets go to tasks by date and bucket too; small files of stays and flags are not broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    hourly = hourly_visitation(tables("visit_detail"), tables("arrival_groups"), tables("stay_time"), tables("new_or_return"))
+    flags = new_or_return(tables("stay_time"))
+    for made in (hourly, flags):
+        assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    files = spark.table("cut.hourly_visitation").select("dt", F.regexp_extract("_metadata.file_path", r"_(\d{5})\.", 1).alias("bucket"), "_metadata.file_path")
+    assert files.groupBy("dt", "bucket").agg(F.count_distinct("file_path").alias("n")).where("n > 1").isEmpty()
