@@ -11,6 +11,7 @@ from data import captures  # noqa: E402
 
 from footfall.operators.returning import new_or_return  # noqa: E402
 from footfall.operators.visitation import hourly_visitation  # noqa: E402
+from footfall.plans import refresh as plan  # noqa: E402
 from footfall.plans.refresh import Settings, refresh  # noqa: E402
 from footfall.sources.tables import DATE_PARTITION, LOAD_TIME, buckets_of  # noqa: E402
 
@@ -62,6 +63,16 @@ def test_same_rows_as_without_buckets(spark, tables):
     assert len(exchanges_below_joins(new_or_return(stay, stay))[0]) >= 2  # what buckets spare
 
 
+def test_more_captures_have_more_buckets(spark, monkeypatch):
+    monkeypatch.setattr(plan, "BUCKET_CAPTURES", 30)
+    spark.sql("CREATE DATABASE IF NOT EXISTS many")
+    df = captures(spark, ROWS)
+    refresh(spark, df, DAYS, "many", Settings(buckets=4), only=["visit_detail"])
+    monkeypatch.setattr(plan, "BUCKET_CAPTURES", 1)
+    refresh(spark, df, DAYS, "many", Settings(buckets=4), only=["stay_time"])
+    assert {buckets_of(spark, f"many.{name}") for name in ("visit_detail", "stay_time")} == {("profile_id", -(-len(ROWS) // 30))}
+
+
 def test_buckets_are_shuffled_for_writing(spark, tables):
     """Rows that come in buckets go to tasks by date and bucket too; small files of stays and flags are not broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
