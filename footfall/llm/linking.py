@@ -14,7 +14,8 @@ two blocks than these have members, all are compared, and the blocks are done.
 Elsewhere a text is compared with one member of another label a turn, the
 likeliest first, so a turn has no more pairs than there are members, and labels
 at least halve where texts are alike; only buckets with such blocks have another
-turn. When a turn joins little, all pairs that are left are compared.
+turn. When a turn joins little, or leaves no more pairs than the buckets
+have members, all pairs that are left are compared.
 
 Blocks meet in pairs, so a bucket of texts that share a sketch but are not alike
 is quadratic in those bounds, though not in rows. No member is dropped, no bucket
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.components import components, forest
+from footfall.llm.components import HELD, components, forest
 from footfall.sources.scratch import stored
 
 #: Turns with one pair a text, at most; what they leave is compared in full.
@@ -72,12 +73,13 @@ def _chance(a: np.ndarray, b: np.ndarray, turn: int) -> np.ndarray:
 
 
 def _unlike(alike, turn: int | None):
-    """Pairs of two blocks that have different labels and can be similar, rows ``(bucket, a, b, p, q, rank, whole)``.
+    """Pairs of two blocks that have different labels and can be similar, rows ``(bucket, a, b, p, q, rank, whole, more)``.
 
     A pair belongs to the bucket of its first common sketch and is passed over
     in the others. ``p`` and ``q`` are the labels. Pairs are all there, and
     ``whole``, if they are no more than the members of both blocks, or without
-    a ``turn``. Else each member, as ``a``, has the one pair of highest rank.
+    a ``turn``. Else each member, as ``a``, has the one pair of highest rank, and
+    the first row of the blocks tells in ``more`` how many pairs there are.
     """
 
     def run(batches):
@@ -101,7 +103,8 @@ def _unlike(alike, turn: int | None):
                     want &= alike(n[:, None], m[None, :], common)
                     rank = common / np.maximum(n[:, None], m[None, :])
                 once = want & (a[:, None] < b[None, :]) if own else want
-                whole = turn is None or np.count_nonzero(once) <= len(a) + (0 if own else len(b))
+                there = np.count_nonzero(once)
+                whole = turn is None or there <= len(a) + (0 if own else len(b))
                 if whole:
                     i, j = np.nonzero(once)
                     i, j, p, q, rank = a[i], b[j], p[i], q[j], np.zeros(len(i))
@@ -114,28 +117,24 @@ def _unlike(alike, turn: int | None):
                     i, j = np.concatenate([a[x[0]], b[y[1]]]), np.concatenate([b[x[1]], a[y[0]]])
                     p, q, rank = np.concatenate([p[x[0]], q[y[1]]]), np.concatenate([q[x[1]], p[y[0]]]), np.concatenate([high, wide])
                     i, j, p, q, rank = (c[rank >= 0] for c in (i, j, p, q, rank))
+                more = np.zeros(len(i), np.int64)
+                more[:1] = 0 if whole else there
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(i), bucket)), *(pa.array(c) for c in (i, j, p, q, rank)), pa.array(np.full(len(i), whole))],
-                    ["bucket", "a", "b", "p", "q", "rank", "whole"],
+                    [pa.array(np.full(len(i), bucket)), *(pa.array(c) for c in (i, j, p, q, rank)), pa.array(np.full(len(i), whole)), pa.array(more)],
+                    ["bucket", "a", "b", "p", "q", "rank", "whole", "more"],
                 )
 
     return run
 
 
-def _candidates(here: DataFrame, signs: DataFrame, bags: DataFrame | None, alike, similarity: float, turn: int | None) -> DataFrame:
-    """What ``_unlike`` gives for the members of each bucket, rows ``(bucket, id, label)``."""
-    here = here.join(signs, "id")
-    if bags is None:
-        columns, here = ["id", "label", "sketches"], here.select("bucket", "id", "label", "sketches", F.lit(0).alias("band"))
-    else:
-        # Sizes of similar texts lie in one band or in two neighbours.
-        width = max(-math.log(similarity), 1e-6) * (1 + 1e-9)
-        columns = ["id", "label", "sketches", "size", "bag"]
-        here = here.join(bags, "id").select("bucket", *columns, F.floor(F.log("size") / width).alias("band"))
-    size = F.count("*") / BLOCK if bags is None else F.greatest(F.count("*") / BLOCK, F.sum(F.length("bag")) / BLOCK_BYTES)
+def _candidates(here: DataFrame, signs: DataFrame, alike, turn: int | None) -> DataFrame:
+    """What ``_unlike`` gives for the members of each bucket, rows ``(bucket, id, label, band, bytes)``."""
+    size = F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)
     held = here.groupBy("bucket", "band").agg(F.ceil(size).alias("blocks"))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")
-    packed = here.join(held, ["bucket", "band"]).groupBy("bucket", "band", block).agg(F.collect_list(F.struct(*columns)).alias("left"))
+    # Sketches and bags are joined once, to members that know their block.
+    dealt = here.join(held, ["bucket", "band"]).select("bucket", "band", block, "id", "label").join(signs, "id")
+    packed = dealt.groupBy("bucket", "band", "block").agg(F.collect_list(F.struct("label", *signs.columns)).alias("left"))
     packed = stored(packed, "blocks")
     other = packed.select(
         "bucket", F.col("band").alias("to"), F.col("block").alias("with"), F.col("left").alias("right"),
@@ -143,7 +142,7 @@ def _candidates(here: DataFrame, signs: DataFrame, bags: DataFrame | None, alike
     )
     both = packed.join(other, ["bucket", "band"]).where("to > band OR block <= with").repartition("bucket", "band", "block", "to", "with")
     own = (F.col("band") == F.col("to")) & (F.col("block") == F.col("with"))
-    kinds = "bucket bigint, a bigint, b bigint, p bigint, q bigint, rank double, whole boolean"
+    kinds = "bucket bigint, a bigint, b bigint, p bigint, q bigint, rank double, whole boolean, more bigint"
     return both.select("bucket", own.alias("own"), "left", "right").mapInArrow(_unlike(alike, turn), kinds)
 
 
@@ -153,12 +152,16 @@ def _once(offers: DataFrame) -> DataFrame:
     best = best.select("a", "best.b", "best.p", "best.q", F.lit(False).alias("whole"))
     every = offers.where("whole").select("a", "b", "p", "q", "whole").unionByName(best)
     ends = (end(*c).alias(n) for c, names in ((("a", "b"), ("a", "b")), (("p", "q"), ("low", "high"))) for end, n in zip((F.least, F.greatest), names))
-    return every.select(*ends, "whole").groupBy("a", "b", "low", "high").agg(F.max("whole").alias("whole"))
+    # A pair has the labels of its texts, the same in every offer.
+    return every.select(*ends, "whole").groupBy("a", "b").agg(F.first("low").alias("low"), F.first("high").alias("high"), F.max("whole").alias("whole"))
 
 
 def _merged(pairs: DataFrame, rows: int) -> DataFrame:
     """``(id, component)`` of pairs ``(a, b)``, some of which tasks of ``EDGES`` pairs or so have joined before."""
-    return components(pairs.coalesce(1 + rows // EDGES).mapInArrow(forest, "a bigint, b bigint"))
+    stars = pairs.coalesce(1 + rows // EDGES).mapInArrow(forest, "a bigint, b bigint")
+    if rows < min(EDGES, HELD):  # One task has joined them all.
+        return stored(stars.select(F.col("b").alias("id"), F.col("a").alias("component")), "components")
+    return components(stars)
 
 
 def shared(signed: DataFrame) -> DataFrame:
@@ -194,16 +197,25 @@ def links_among(
     labels = _merged(known, known.count())
     here = members.select("bucket", "id").join(labels, "id", "left")
     here = here.select("bucket", "id", F.coalesce("component", "id").alias("label"))
+    # Sizes of similar texts lie in one band or in two neighbours.
+    width = max(-math.log(similarity), 1e-6) * (1 + 1e-9)
+    if bags is not None:
+        bags = bags.select("*", F.floor(F.log("size") / width).alias("band"), F.length("bag").alias("bytes"))
     turns = iter((*range(1, TURNS), None))
     turn: int | None = 0
     while True:
         split = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        here = stored(here.join(split.select("bucket"), "bucket", "left_semi"), "split")
+        here = here.join(split.select("bucket"), "bucket", "left_semi")
+        if turn == 0:
+            here = here.withColumns({"band": F.lit(0), "bytes": F.lit(0)}) if bags is None else here.join(bags.select("id", "band", "bytes"), "id")
+        here = stored(here, "split")
+        if turn == 0:
+            places = here.count()
+            signs = signed.select("id", "sketches").join(here.select("id").distinct(), "id", "left_semi")
+            signs = stored(signs if bags is None else signs.join(bags.select("id", "size", "bag"), "id"), "signs")
         if here.isEmpty():
             return links, labels
-        if turn == 0:
-            signs = stored(signed.select("id", "sketches").join(here.select("id").distinct(), "id", "left_semi"), "signs")
-        offers = stored(_candidates(here, signs, bags, alike, similarity, turn), "offers")
+        offers = stored(_candidates(here, signs, alike, turn), "offers")
         pairs = stored(_once(offers).join(checked, ["a", "b"], "left_anti"), "pairs")
         found = stored(verify(pairs), "links")
         links, checked = links.unionByName(found.select("a", "b")), checked.unionByName(pairs.select("a", "b"))
@@ -217,9 +229,10 @@ def links_among(
         if cut.isEmpty():
             return links, labels
         here = here.join(cut, "bucket", "left_semi").join(moved.withColumnRenamed("component", "label"), "label", "left")
-        here = here.select("bucket", "id", F.coalesce("joined", "label").alias("label"))
+        here = here.select("bucket", "id", F.coalesce("joined", "label").alias("label"), "band", "bytes")
         some, worth = (rows.where("NOT whole").count() for rows in (pairs, found))
-        turn = next(turns) if worth * WORTH >= some > 0 else None
+        few = offers.agg(F.sum("more")).first()[0] <= places
+        turn = next(turns) if worth * WORTH >= some > 0 and not few else None
 
 
 def pivot_links(

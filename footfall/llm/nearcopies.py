@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.frames import perhaps_among
 from footfall.llm.linking import bag, links_among, shared
 from footfall.llm.words import Words, mix, pieces, runs, split_words
 from footfall.sources.scratch import stored
@@ -118,19 +119,17 @@ def _sketch(batches):
 
 
 def _tokens(batches):
-    """Words of each text as 32-bit hashes, packed, and their bag; rows whose text is not the one of the id go."""
+    """Of each text the id, the words as 32-bit hashes, packed, and their bag."""
     for batch in batches:
         for low, high, data, bounds in pieces(batch.column("text")):
             words = split_words(data, bounds)
             hashes = words.hashes()
-            own = pa.array(fingerprints(words, hashes).view(np.int64) == batch.column("id").slice(low, high - low).to_numpy())
+            ids = pa.array(fingerprints(words, hashes).view(np.int64))
             hashes = (hashes >> _U(32)).astype(np.uint32)
             first = words.first()
             packed = [hashes[first[i] : first[i + 1]].tobytes() for i in range(high - low)]
             bags = [bag(hashes[first[i] : first[i + 1]]) for i in range(high - low)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(low, high - low), pa.array(packed, pa.binary()), pa.array(bags, pa.binary())], ["id", "words", "bag"]
-            ).filter(own)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary()), pa.array(bags, pa.binary())], ["id", "words", "bag"])
 
 
 def apart(a: np.ndarray, b: np.ndarray) -> int:
@@ -197,11 +196,10 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("sketches").alias("sketches")
     )
     texts = stored(texts, "different-texts")
-    # Texts of candidates only, one document for each different text.
+    # Texts of candidates, one document for each different text, and of a few others: no text is moved to be chosen.
     members = shared(texts)
-    chosen = stored(texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "doc_id"), "candidates")
-    # The file of candidates has a size that Spark knows: it is broadcast below Spark's own threshold only.
-    packed = docs.join(chosen, "doc_id").select("id", "text").mapInArrow(_tokens, "id bigint, words binary, bag binary")
+    chosen = stored(texts.join(members.select("id").distinct(), "id", "left_semi").select("doc_id"), "candidates")
+    packed = perhaps_among(docs, chosen, "doc_id").select("text").mapInArrow(_tokens, "id bigint, words binary, bag binary")
     packed = stored(packed.dropDuplicates(["id"]), "words")
 
     def verify(pairs: DataFrame) -> DataFrame:
