@@ -4,14 +4,16 @@ Texts are cut into chunks of words once. Words that are frequent enough to be pa
 of a result are ranked by frequency, so that common words are neighbours. Of each chunk
 the pairs of adjacent ranks are counted in tiles: pairs of common words fall into few
 tiles, which are counted by direct address with a dense array; the others become
-sorted coordinates. Counts of all chunks are added in Spark. Pairs that are frequent
-are ranked by frequency again and take the place of words: a pair of adjacent pairs is a
-phrase of three words, and so on. A part of a frequent phrase is frequent, so nothing
-is lost on the way.
+sorted coordinates. Pairs that may be frequent are ranked by frequency again and take the
+place of words: a pair of adjacent pairs is a phrase of three words, and so on. A part of a
+frequent phrase is frequent, so nothing is lost on the way.
 
-Neither the vocabulary nor the pairs pass through the driver or are broadcast. Counts of
-a chunk are shuffled once by word or phrase, where those too rare are dropped, and once back
-to their chunk, which ranks its own by their counts in all: a group of bounded size.
+What may be frequent is seen by hash: each chunk adds its counts of phrases of one length to
+buckets, and a phrase in a bucket of less than the least count is rare. The buckets are summed in
+Spark, and one bit of each, 16 MB at most, is broadcast for the next length. Only phrases whose buckets,
+and whose parts' buckets, have enough are shuffled with their counts, once, by their words; those that
+share a bucket with others are dropped by their exact counts then. From five hundred million words on
+the buckets fill up, and more rare phrases are counted exactly, but none that is frequent goes.
 
 Edge cases: a null text is empty, a null language is ``und``; rows without a word add
 nothing; repeated rows count each; ids and other columns are not read. A piece of text
@@ -21,18 +23,20 @@ exact up to 10^16, with products in 38 digits.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from footfall.llm.frames import map_rows
+from footfall.llm.words import Words, mix
 from footfall.sources.scratch import stored
 
 MOST_WORDS = 5
@@ -41,17 +45,25 @@ TOP = 2000
 #: A phrase goes if a longer one has this share of its occurrences, in percent.
 ABSORB = 100
 #: Words of a chunk about, and bytes of a text split at once.
-CHUNK = 2_000_000
+CHUNK = 300_000
 SLICE = 4 << 20
 #: Side of a tile in ids, tiles along a side that are addressed directly, and pairs that make a tile dense.
 TILE, HEAD, DENSE = 256, 64, 256 * 256 // 8
 #: Parts of a language that are ranked by themselves first.
 PARTS = 64
 
+#: Lengths of phrases that are sifted by buckets, words for a bucket, and buckets as powers of two: of a block, and at most.
+SIFTED, LOAD, BLOCK, MOST_BUCKETS = 4, 4, 16, 27
+#: Phrases whose buckets are added up at once, and rows sent at once.
+TOGETHER, SENT = 3_000_000, 50_000
+
 _CHUNKS = T.StructType([
-    T.StructField("chunk", T.LongType()), T.StructField("codes", T.BinaryType()), T.StructField("lang", T.ArrayType(T.StringType())),
-    T.StructField("word", T.ArrayType(T.StringType())), T.StructField("n", T.ArrayType(T.LongType())),
+    T.StructField("codes", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("langs", T.ArrayType(T.StringType())),
+    T.StructField("lang", T.BinaryType()), T.StructField("word", T.BinaryType()), T.StructField("length", T.BinaryType()),
+    T.StructField("n", T.BinaryType()),
 ])
+_U = np.uint64
+_FULL = 255  # most that a chunk adds to a bucket
 _MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 _GONE, _END = -2, -1  # codes of an empty token and of the end of a piece
 
@@ -82,7 +94,7 @@ class _Chunk:
         self.parts.append(np.array([_END], np.int32))
 
     def take(self, whole: bool):
-        """Codes, languages, words and counts so far; up to the last end of a piece, unless ``whole``."""
+        """Codes, languages, words and counts so far, most frequent first; up to the last end of a piece, unless ``whole``."""
         codes = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
         cut = len(codes)
         if not whole:
@@ -91,7 +103,7 @@ class _Chunk:
         codes, rest = codes[:cut], codes[cut:]
         self.parts, self.size = [rest] if len(rest) else [], len(rest)
         n = np.bincount(codes[codes >= 0]) if (codes >= 0).any() else np.zeros(0, np.int64)
-        used = np.flatnonzero(n)
+        used = np.argsort(-n, kind="stable")[: np.count_nonzero(n)]
         known = np.full(len(n) + 1, _END, np.int32)  # the last is for ends
         known[used] = np.arange(len(used))
         langs, words = [None] * len(n), [None] * len(n)
@@ -114,19 +126,38 @@ def _slices(text: bytes):
         at = end
 
 
+def _thin(values: np.ndarray) -> bytes:
+    """Numbers that are mostly small: the first bytes of all together, then the second ones, .."""
+    return zlib.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), 1)
+
+
+def _wide(packed: pa.BinaryScalar, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed.as_buffer()), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    values = words.buffers()[2]
+    data = np.frombuffer(values, np.uint8)[ends[0] : ends[-1]] if values else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    return Words(data, ends, ends[1:], ends[:-1], ends[1:]).hashes(lower=False)
+
+
 def _cut(batches):
     """Chunks of ``(text, lang)``."""
-    chunk, made = _Chunk(), count(TaskContext.get().partitionId() << 32)
+    chunk = _Chunk()
 
     def row(whole):
         codes, langs, words, n = chunk.take(whole)
         if len(n):
-            words = pa.array(words, pa.binary()).view(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([next(made)]), pa.array([codes.tobytes()], pa.binary()), pa.array([langs], pa.list_(pa.string())),
-                 pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.array([n.tolist()], pa.list_(pa.int64()))],
-                _CHUNKS.names,
-            )
+            names = sorted(set(langs))
+            number = {name: i for i, name in enumerate(names)}
+            lang = np.array([number[x] for x in langs], np.int32)
+            length = np.array([len(w) for w in words], np.int32)
+            packed = [_thin(codes.astype(np.int32) + 1), _thin(lang), zlib.compress(b"".join(words), 1), _thin(length), _thin(n.astype(np.int64))]
+            codes, *packed = (pa.array([x], pa.binary()) for x in packed)
+            yield pa.RecordBatch.from_arrays([codes, pa.array([int(n.sum())]), pa.array([names], pa.list_(pa.string())), *packed], _CHUNKS.names)
 
     for batch in batches:
         texts = batch.column(0)
@@ -174,67 +205,124 @@ def _squeezed(ids: np.ndarray) -> np.ndarray:
     return ids[keep]
 
 
-def _packed(chunk: int, codes: np.ndarray, names: np.ndarray) -> pa.Table:
-    """One row with a chunk of ``codes``, which number the rows of ``names``, and one for each pair in it."""
-    codes = _squeezed(codes)
-    a, b, n = count_pairs(codes)
-    words = np.column_stack([names[a], names[b, -1]]) if len(n) else np.zeros((0, names.shape[1] + 1), np.int64)
-    first = 1 if len(n) else 0  # a chunk without pairs is done
-    none = np.zeros(first, np.int64)
-    made = {"chunk": np.full(len(n) + first, chunk), "codes": pa.array([codes.astype(np.int32).tobytes()][:first] + [None] * len(n), pa.binary())}
-    made |= {"a": np.concatenate([none, a]).astype(np.int32), "b": np.concatenate([none, b]).astype(np.int32)}
-    made |= {f"w{i}": np.concatenate([none, words[:, i]]) for i in range(words.shape[1])}
-    return pa.table(made | {"n": np.concatenate([none, n])})
-
-
-def _ranked(known: pa.Table, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids in ``columns``, most frequent first, and the order that brings them there."""
-    names = np.column_stack([known[c].to_numpy() for c in columns]).astype(np.int64)
-    order = np.lexsort([*names.T[::-1], -known["total"].to_numpy()])
-    return names[order], order
-
-
-def _words_to_ids(chunk: pa.Table, known: pa.Table) -> pa.Table:
-    codes = np.frombuffer(chunk["codes"][0].as_py(), np.int32)
-    names, order = _ranked(known, ["w0"])
-    new = np.full(max(int(codes.max(initial=0)), 0) + 2, -1, np.int64)
-    new[known["at"].to_numpy()[order]] = np.arange(len(order))
-    return _packed(chunk["chunk"][0].as_py(), new[codes], names)  # the last stands for ends
-
-
-def _pairs_to_ids(words: int):
-    def run(chunk: pa.Table, known: pa.Table) -> pa.Table:
-        names, order = _ranked(known, [f"w{i}" for i in range(words)])
-        if not len(names):
-            return _packed(0, np.zeros(0, np.int64), names)
-        old = np.frombuffer(chunk["codes"][0].as_py(), np.int32).astype(np.int64)
-        side = int(old.max()) + 2
-        keys = known["a"].to_numpy().astype(np.int64) * side + known["b"].to_numpy()
-        by_key = np.argsort(keys)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        here = np.where((old[:-1] >= 0) & (old[1:] >= 0), old[:-1] * side + old[1:], -1)
-        at = np.minimum(np.searchsorted(keys[by_key], here), len(keys) - 1)
-        new = np.where(keys[by_key][at] == here, rank[by_key][at], -1)
-        return _packed(chunk["chunk"][0].as_py(), new, names)
+def _among(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the buckets of ``hashes`` have their bit."""
+    at = hashes >> _U(64 - len(bits).bit_length() - 2)
+    return (bits[at >> _U(3)] >> (at & _U(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _grown(codes: np.ndarray, n: np.ndarray, hashes: np.ndarray, bits: list[np.ndarray], most: int):
+    """For 1, 2, .. words the phrases of a chunk that ``bits`` let pass: their words, as numbers, hashes and counts.
+
+    Of a length without bits all pass.
+    """
+    single, words = hashes, np.arange(len(n))[:, None]
+    keys = None  # of pairs, by which they are found in the codes
+    for k in range(1, most + 1):
+        kept = np.flatnonzero(_among(bits[k - 1], hashes)) if k <= len(bits) else np.arange(len(n))
+        kept = kept[np.argsort(-n[kept], kind="stable")]
+        yield words[kept], hashes[kept], n[kept]
+        if k == most or not len(kept):
+            return
+        words, hashes, rank = words[kept], hashes[kept], np.arange(len(kept))
+        if keys is None:
+            new = np.full(len(n) + 1, -1, np.int64)  # the last stands for ends
+            new[kept] = rank
+            codes = new[codes]
+        else:
+            by_key = np.argsort(keys[kept])
+            found = keys[kept][by_key]
+            here = np.where((codes[:-1] >= 0) & (codes[1:] >= 0), codes[:-1] * side + codes[1:], -1)
+            at = np.minimum(np.searchsorted(found, here), len(found) - 1)
+            codes = np.where(found[at] == here, rank[by_key][at], -1)
+        codes = _squeezed(codes)
+        a, b, n = count_pairs(codes)
+        side = len(kept)
+        keys = a * side + b
+        last = words[b, -1]
+        words, hashes = np.column_stack([words[a], last]), mix(hashes[a] * _U(3) + single[last], k + 2)
+
+
+def _opened(batches, bits: list[np.ndarray], most: int):
+    """Languages and words of each chunk, the language and the count of each word, and the phrases of 1, 2, .. words."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            codes, lang, length, n = (
+                _wide(batch.column(c)[i], kind) for c, kind in (("codes", np.int32), ("lang", np.int32), ("length", np.int32), ("n", np.int64))
+            )
+            codes, ends = codes - 1, np.r_[0, np.cumsum(length)].astype(np.int32)
+            data = zlib.decompress(batch.column("word")[i].as_buffer())
+            words = pa.StringArray.from_buffers(len(length), pa.py_buffer(ends), pa.py_buffer(data))
+            langs = batch.column("langs")[i].values
+            hashes = mix(_hashes(words) ^ mix(_hashes(langs), 1)[lang], 2)
+            yield langs, words, lang, n, _grown(codes, n, hashes, bits, most)
+
+
+def _by_block(at: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """What ``n`` adds to the buckets ``at``, one row a block: steps from bucket to bucket, and counts."""
+    order = np.argsort(at, kind="stable")
+    at, n = at[order], n[order]
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    n, at = np.minimum(np.add.reduceat(n, first, dtype=np.int64), _FULL).astype(np.uint8), at[first]
+    block, at = (at >> _U(BLOCK)).astype(np.int32), (at & _U((1 << BLOCK) - 1)).astype(np.uint16)
+    edges = np.r_[np.flatnonzero(np.r_[True, block[1:] != block[:-1]]), len(block)]
+    steps = np.diff(at, prepend=at[:1])
+    steps[edges[:-1]] = at[edges[:-1]]
+    each = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+    rows = [[_thin(steps[i:j]) for i, j in each], [_thin(n[i:j]) for i, j in each]]
+    return pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]]), *(pa.array(x, pa.binary()) for x in rows)], ["block", "at", "n"])
+
+
+def _loads(sent, power: int):
+    """What the chunks add to the buckets, by block, of phrases one word longer than those with bits."""
+
+    def run(batches):
+        bits, held, size = [b.value for b in sent], [], 0
+        for *_, levels in _opened(batches, bits, len(bits) + 1):
+            for k, (_, hashes, n) in enumerate(levels):
+                if k == len(bits):
+                    held.append(((hashes >> _U(64 - power)).astype(np.uint32), np.minimum(n, _FULL).astype(np.uint8)))
+                    size += len(n)
+            if size >= TOGETHER:
+                yield _by_block(*map(np.concatenate, zip(*held)))
+                held, size = [], 0
+        if size:
+            yield _by_block(*map(np.concatenate, zip(*held)))
+
+    return run
+
+
+def _summed(least: int):
+    """The bits of a block's buckets that have ``least`` in all."""
+
+    def run(loads: pa.Table) -> pa.Table:
+        total = np.zeros(1 << BLOCK, np.int64)
+        for at, n in zip(loads["at"], loads["n"]):
+            total[np.cumsum(_wide(at, np.uint16), dtype=np.int64)] += _wide(n, np.uint8)
+        bits = np.packbits(total >= min(least, _FULL), bitorder="little")
+        return pa.table({"block": loads["block"][:1].cast(pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
     return run
 
 
-def _met(chunks: DataFrame, known: DataFrame, run, words: int) -> tuple[DataFrame, DataFrame]:
-    """Chunks with the frequent phrases of one word less in them: new chunks, and counts of phrases of ``words`` in each."""
-    ids = [f"w{i}" for i in range(words)]
-    schema = ", ".join(["chunk bigint", "codes binary", "a int", "b int", *(f"{w} bigint" for w in ids), "n bigint"])
-    made = chunks.groupBy("chunk").cogroup(known.withColumnRenamed("chunk", "of").groupBy("of")).applyInArrow(run, schema)
-    made = stored(made, "pairs")
-    return made.where("codes IS NOT NULL").select("chunk", "codes"), made.where("codes IS NULL").drop("codes")
+def _told(sent, most: int):
+    """Counts of the phrases that pass, in each chunk; of 0 words those of the languages."""
 
+    def run(batches):
+        names = ["words", "lang", "phrase", "n"]
+        for langs, word, lang, n, levels in _opened(batches, [b.value for b in sent], most):
+            total = np.zeros(len(langs), np.int64)
+            np.add.at(total, lang, n)
+            none = pa.array([""] * len(langs), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(langs), np.int32)), langs, none, pa.array(total)], names)
+            for k, (words, _, n) in enumerate(levels, 1):
+                for i in range(0, len(n), SENT):
+                    part = words[i : i + SENT]
+                    phrase = pc.binary_join_element_wise(*(word.take(pa.array(w)) for w in part.T), " ")
+                    own = langs.take(pa.array(lang[part[:, 0]]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), k, np.int32)), own, phrase, pa.array(n[i : i + SENT])], names)
 
-def _frequent(rows: DataFrame, keys: list[str], least: int, **more: Column) -> DataFrame:
-    """Rows of ``(keys, n)`` by chunk where a key has ``least`` in all: at most one row a chunk for each key."""
-    same = Window.partitionBy(*keys)
-    found = rows.withColumns({"total": F.sum("n").over(same)} | {name: value.over(same) for name, value in more.items()})
-    return stored(found.where(F.col("total") >= least).drop("n"), "frequent")
+    return run
 
 
 def phrases(
@@ -242,35 +330,40 @@ def phrases(
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Words per language ``(lang, n)``, and for 1, 2, .. words the phrases that occur ``least`` times.
 
-    Phrases have the ids ``words``, ``lang``, ``phrase``, ``last`` (word) and their counts: ``first``
-    of the first 1, 2, .. words and ``rest`` of the last 1, 2, .. words.
+    Phrases ``(lang, phrase, first, rest)`` have their counts: ``first`` of the first 1, 2, ..
+    words and ``rest`` of the last 1, 2, .. words.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     chunks = stored(map_rows(rows, _cut, _CHUNKS), "chunks")
-    entries = chunks.select("chunk", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "x"))
-    entries = entries.select("chunk", "at", "x.lang", "x.word", "x.n")
-    total = entries.groupBy("lang").agg(F.sum("n").alias("n"))
-    # A word is named after its first row: a number that follows from the stored chunks.
-    known = _frequent(entries.withColumn("row", F.monotonically_increasing_id()), ["lang", "word"], least, w0=F.min("row"))
-    words = known.groupBy("w0").agg(*(F.first(c).alias(c) for c in ("lang", "word", "total")))
-    words = words.select(F.array("w0").alias("words"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("total").alias("first"), F.array("total").alias("rest"))
-    found = [stored(words, "words")]
-    codes, pairs = _met(chunks.select("chunk", "codes"), known.select("chunk", "at", "w0", "total"), _words_to_ids, 2)
-    for k in range(2, most_words + 1):
-        ids = [f"w{i}" for i in range(k)]
-        known = _frequent(pairs, ids, least)
-        counts = known.groupBy(*ids).agg(F.max("total").alias("total")).select(F.array(ids).alias("words"), "total")
-        p = found[-1].select(F.col("words").alias("p"), "lang", "phrase", "first")
-        q = found[-1].select(F.col("words").alias("q"), "last", "rest")
-        counts = counts.withColumns({"p": F.slice("words", 1, k - 1), "q": F.slice("words", 2, k - 1)})
-        grown = counts.join(p, "p").join(q, "q").select(
-            "words", "lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "last",
-            F.concat("first", F.array("total")).alias("first"), F.concat("rest", F.array("total")).alias("rest"),
-        )
-        found.append(stored(grown, "phrases"))
-        if k < most_words:
-            codes, pairs = _met(codes, known, _pairs_to_ids(k), k + 1)
-    return total, found
+    context = docs.sparkSession.sparkContext
+    size = chunks.agg(F.sum("size")).first()[0] or 0
+    power = min(max((size // LOAD).bit_length(), BLOCK), MOST_BUCKETS)
+    sent = []
+    for _ in range(min(SIFTED, most_words)):
+        loads = chunks.drop("size").mapInArrow(_loads(sent, power), "block int, at binary, n binary")
+        bits = np.zeros(1 << power - 3, np.uint8)
+        for block in loads.groupBy("block").applyInArrow(_summed(least), "block int, bits binary").collect():
+            at = block["block"] << BLOCK - 3
+            bits[at : at + (1 << BLOCK - 3)] = np.frombuffer(block["bits"], np.uint8)
+        sent.append(context.broadcast(bits))
+    counts = chunks.drop("size").mapInArrow(_told(sent, most_words), "words int, lang string, phrase string, n bigint")
+    counts = counts.groupBy("words", "lang", "phrase").agg(F.sum("n").alias("n")).where((F.col("words") == 0) | (F.col("n") >= least))
+    counts = stored(counts, "phrases")
+    for b in sent:
+        b.unpersist()
+    found = []
+    for k in range(1, most_words + 1):
+        here = counts.where(F.col("words") == k).select("lang", "phrase", F.array("n").alias("n"))
+        if k == 1:
+            here = here.select("lang", "phrase", F.col("n").alias("first"), F.col("n").alias("rest"))
+        else:
+            p = found[-1].select("lang", F.col("phrase").alias("p"), "first")
+            q = found[-1].select("lang", F.col("phrase").alias("q"), "rest")
+            here = here.withColumns({"p": F.substring_index("phrase", " ", k - 1), "q": F.substring_index("phrase", " ", 1 - k)})
+            here = here.join(p, ["lang", "p"]).join(q, ["lang", "q"])
+            here = here.select("lang", "phrase", F.concat("first", "n").alias("first"), F.concat("rest", "n").alias("rest"))
+        found.append(stored(here, "counted"))
+    return counts.where("words = 0").select("lang", "n"), found
 
 
 def collocations(
@@ -289,9 +382,9 @@ def collocations(
     for here, longer in zip(found[1:], [*found[2:], None]):
         here = here.withColumn("a", F.element_at("first", -1))
         if longer is not None:
-            inside = F.explode(F.array(F.expr("slice(words, 1, size(words) - 1)"), F.expr("slice(words, 2, size(words) - 1)")))
-            most = longer.select(inside.alias("words"), F.element_at("first", -1).alias("f")).groupBy("words").agg(F.max("f").alias("f"))
-            here = here.join(most, "words", "left").where(~F.coalesce(100 * F.col("f") >= absorb * F.col("a"), F.lit(False)))
+            inside = F.explode(F.array(F.expr("substring_index(phrase, ' ', size(first) - 1)"), F.expr("substring_index(phrase, ' ', 1 - size(first))")))
+            most = longer.select("lang", inside.alias("phrase"), F.element_at("first", -1).alias("f")).groupBy("lang", "phrase").agg(F.max("f").alias("f"))
+            here = here.join(most, ["lang", "phrase"], "left").where(~F.coalesce(100 * F.col("f") >= absorb * F.col("a"), F.lit(False)))
         kept.append(here.select("lang", "phrase", "a", "first", "rest"))
     rows = kept[0]
     for more in kept[1:]:

@@ -3,8 +3,11 @@
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +98,39 @@ def test_products_beyond_64_bits(spark):
     exact = lambda c: f"cast({c} as decimal(38, 0))"
     got = spark.sql(f"SELECT ({exact(1000)} * {exact(a)} * {exact(n)}) div ({exact(l)} * {exact(r)}) AS s").first().s
     assert got == 1000 * a * n // (l * r)
+
+
+def test_rare_phrases_are_not_sent(spark):
+    """Of many different pairs those that are frequent are shuffled, and few that share a bucket with one."""
+    rng = np.random.default_rng(5)
+    rows = [(" ".join([*(f"w{w}" for w in rng.integers(0, 200, 400)), "of the"]), "en") for _ in range(200)]
+    chunks = spark.createDataFrame(rows, "text string, lang string").mapInArrow(co._cut, co._CHUNKS)
+    batches = chunks.drop("size").toArrow().to_batches()
+    sent = []
+    for _ in range(2):
+        loads = pa.Table.from_batches(co._loads(sent, 18)(batches))
+        bits = np.zeros(1 << 15, np.uint8)
+        for block in range(4):
+            own = loads.filter(pc.equal(loads["block"], block))
+            if own.num_rows:
+                bits[block << 13 : (block + 1) << 13] = np.frombuffer(co._summed(100)(own)["bits"][0].as_py(), np.uint8)
+        sent.append(SimpleNamespace(value=bits))
+    told = [b for b in co._told(sent, 2)(batches) if b.num_rows and b.column("words")[0].as_py() == 2]
+    pairs = {p for b in told for p in b.column("phrase").to_pylist()}
+    want = Counter(" ".join(p) for text, _ in rows for p in zip(text.split(), text.split()[1:]))
+    assert {p for p, n in want.items() if n >= 100} == {"of the"} <= pairs
+    assert len(want) > 30_000 and len(pairs) < 10
+
+
+@pytest.mark.parametrize("least", [3, 90, 300])
+def test_buckets_lose_no_count(least):
+    rng = np.random.default_rng(least)
+    at, n = rng.integers(0, 1 << 18, 50_000).astype(np.uint64), rng.integers(1, 400, 50_000)
+    half = [co._by_block(at[i::2], n[i::2]) for i in (0, 1)]
+    total = np.bincount(at.astype(np.int64), n, 1 << 18)
+    table = pa.Table.from_batches(half)
+    for block in range(4):
+        bits = co._summed(least)(table.filter(pc.equal(table["block"], block)))["bits"][0].as_py()
+        seen = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
+        own = total[block << 16 : (block + 1) << 16]
+        assert seen[own >= least].all() and not seen[own < min(least, 255)].any()
