@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.frames import perhaps_among
 from footfall.llm.linking import bag, links_among, shared
-from footfall.llm.words import Words, mix, pieces, runs, split_words
+from footfall.llm.words import Words, mix, pieces, runs, split_words, stretches
 from footfall.sources.scratch import stored
 
 K = 5
@@ -42,8 +42,8 @@ def fingerprints(words: Words, hashes: np.ndarray) -> np.ndarray:
     """One 64-bit hash of the word sequence of each text; 0 where there is no word."""
     first = words.first()
     out = np.zeros(len(first) - 1, _U)
-    for i in np.flatnonzero(np.diff(first)):
-        out[i] = runs(hashes[first[i] : first[i + 1]], first[i + 1] - first[i])[0] | _U(1)
+    some = np.flatnonzero(np.diff(first))
+    out[some] = stretches(hashes, first[some], first[some + 1]) | _U(1)
     return out
 
 
@@ -57,7 +57,7 @@ def kmers(words: Words, hashes: np.ndarray, k: int = K) -> tuple[np.ndarray, np.
     short = np.flatnonzero((count > 0) & (count < k))
     if not len(short):
         return own[whole], long[whole]
-    alone = np.array([runs(hashes[first[i] : first[i + 1]], count[i])[0] for i in short], _U)
+    alone = stretches(hashes, first[short], first[short + 1])
     rows, values = np.concatenate([own[whole], short]), np.concatenate([long[whole], alone])
     order = np.argsort(rows, kind="stable")
     return rows[order], values[order]

@@ -85,7 +85,7 @@ def op10_mixing(spark, sf_dir):
 
 @query
 def op2_paragraph_dedup(spark, sf_dir):
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=1)
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"), min_words=1, passage=repeats.LENGTH)
 
 
 @query

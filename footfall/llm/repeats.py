@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.frames import map_rows
-from footfall.llm.words import Words, char_at, mix, pieces, runs, split_words
+from footfall.llm.frames import map_rows, perhaps_among
+from footfall.llm.words import Words, char_at, mix, pieces, runs, split_words, stretches
 from footfall.sources.scratch import stored
 
 LENGTH = 50
@@ -59,13 +59,8 @@ def _reaches(starts: np.ndarray, chosen: np.ndarray, hashes: np.ndarray, length:
     """Windows that select one place are neighbours: first index of each run, and the hash of its words."""
     head = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1]) | (np.diff(starts) != 1)])
     size = np.diff(np.r_[head, len(starts)])
-    # Prefix sums as in ``runs``, for stretches of different lengths.
     low, high = starts[head], starts[head] + size - 1 + length
-    reach = np.zeros(len(head), _U)
-    for n in np.unique(size):
-        own = size == n
-        reach[own] = mix(runs(hashes, int(n) - 1 + length)[low[own]], 7)
-    return head, size, low, high, reach
+    return head, size, low, high, mix(stretches(hashes, low, high), 7)
 
 
 def _each(batches, length: int, seed: int):
@@ -197,6 +192,19 @@ def flagged_reaches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     kind = docs.schema["doc_id"].dataType.simpleString()
     suffixes = stored(docs.mapInArrow(_suffixes(length, seed), f"doc_id {kind}, seed bigint, reach bigint"), "suffixes")
+    told = stored(repeated_reaches(docs, suffixes, length, seed), "flagged")
+    return (
+        suffixes.select("doc_id", "reach").distinct().join(told, "reach")
+        .groupBy("doc_id").agg(F.collect_list(F.struct("reach", "runs")).alias("flagged"))
+    )
+
+
+def repeated_reaches(docs: DataFrame, suffixes: DataFrame, length: int = LENGTH, seed: int = SEED, sift: bool = False) -> DataFrame:
+    """``(reach, runs)``: the reaches among ``suffixes``, rows ``(doc_id, seed, reach)``, that have repeated windows.
+
+    With ``sift`` few other texts than those whose windows are compared are moved.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
     reaches = suffixes.groupBy("seed", "reach").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     reaches = stored(reaches, "reaches")
     seeds = reaches.groupBy("seed").agg(F.count("*").alias("n"), F.min("first").alias("low"), F.max("last").alias("high"))
@@ -209,6 +217,9 @@ def flagged_reaches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     # Several: the windows of each, from the first document that has it.
     parts = shared.where("n > 1").select("reach", "first", "last")
     wanted = parts.groupBy("first").agg(F.collect_set("reach").alias("reaches")).withColumnRenamed("first", "doc_id")
+    if sift:
+        wanted = stored(wanted, "wanted")
+        docs = perhaps_among(docs, wanted, "doc_id")
     windows = docs.join(wanted, "doc_id").mapInArrow(
         _windows(length, seed), "one bigint, two bigint, reach bigint, place int"
     )
@@ -225,11 +236,7 @@ def flagged_reaches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
         ),
     ).otherwise(F.concat(runs, F.array(F.struct(h["place"].alias("low"), h["place"].alias("high"), h["first"].alias("first")))))
     part = each.select("reach", F.aggregate("hits", F.array().cast(run), lambda r, h: step(r, h).cast(run)).alias("runs"))
-    told = stored(whole.unionByName(part), "flagged")
-    return (
-        suffixes.select("doc_id", "reach").distinct().join(told, "reach")
-        .groupBy("doc_id").agg(F.collect_list(F.struct("reach", "runs")).alias("flagged"))
-    )
+    return whole.unionByName(part)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:

@@ -97,6 +97,15 @@ def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * down[: len(hashes) - n + 1], n)
 
 
+def stretches(hashes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``low`` up to ``high`` of each stretch, as ``runs`` gives it; none is empty."""
+    up, down = _power_table(False, len(hashes)), _power_table(True, len(hashes))
+    total = np.zeros(len(hashes) + 1, _U)
+    np.cumsum(hashes * up, out=total[1:])
+    # The length is the seed of ``mix`` in ``runs``.
+    return mix((total[high] - total[low]) * down[low] + (high - low).astype(_U) * _BASE)
+
+
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(from row, to row, bytes, bounds)`` of a text column; null texts are empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -89,6 +89,48 @@ def test_short_paragraphs_are_compared(spark, tmp_path):
     assert len(got) == 8
 
 
+def test_passages_inside_lines_and_over_lines_are_told(spark, tmp_path):
+    rng = random.Random(4)
+    passages = [prose(n, 40 + n) for n in (50, 51, 64, 49, 130)]
+
+    def broken(words):
+        return "".join(w + ("\n" if rng.random() < 0.05 else " ") for w in words)
+
+    rows = []
+    for k in range(30):
+        words = prose(rng.randrange(60, 200), 300 + k)
+        for passage in rng.sample(passages, k % 3):
+            at = rng.randrange(len(words))
+            words[at:at] = edited(passage, 0.01 * (k % 2), k)
+        rows.append((k, broken([w.upper() for w in words] if k % 7 == 0 else words)))
+    rows += [(40, "\n".join(passages[2][:30]) + "\n\nend"), (41, " ".join(["a"] * 90)), (42, "b " + "a\n" * 55), (43, None), (44, "")]
+    rows += [(4, " ".join(prose(30, 1) + passages[4])), (1, rows[1][1]), (None, " ".join(passages[0]))]
+    where = defaultdict(set)
+    texts = {(i, t): [(p, w) for p, line in enumerate(t.split("\n")) for w in line.lower().split()] for i, t in rows if i is not None and t}
+    for (i, _), words in texts.items():
+        for j in range(len(words) - 49):
+            where[tuple(w for _, w in words[j : j + 50])].add(i)
+    expected: dict[tuple, tuple[int, int]] = {}
+    for (i, t), words in texts.items():
+        shared, later = set(), set()
+        for j in range(len(words) - 49):
+            ids = where[tuple(w for _, w in words[j : j + 50])]
+            if len(ids) > 1:
+                shared.update(range(j, j + 50))
+                later.update(range(j, j + 50) if min(ids) < i else ())
+        for p, line in enumerate(t.split("\n")):
+            n = sum(words[j][0] == p for j in shared)
+            if n:
+                expected[i, p, len(line.split()), n] = sum(words[j][0] == p for j in later)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op2_paragraph_dedup"](spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.para, r.n_words, r.n_repeated): r.n_removed for r in got if r.n_repeated} == expected
+    alone = [r for r in got if r.n_repeated and r.doc_id < 30 and r.first_doc == r.doc_id]
+    assert len(expected) > 30 and any(r.n_words > r.n_repeated for r in alone) and all(r.kept for r in alone)
+    lines = {(r.doc_id, r.para) for r in paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"), min_words=1).collect()}
+    assert {(r.doc_id, r.para) for r in got} == lines | {key[:2] for key in expected}
+
+
 def test_each_text_of_a_repeated_id_is_verified_by_its_own_words(spark):
     texts = [prose(60, 70 + k) for k in range(8)]
     rows = [(1, " ".join(t)) for t in texts] + [(10 + k, " ".join([*t[:-1], "changed"])) for k, t in enumerate(texts)]
