@@ -170,7 +170,7 @@ def _in_passages(docs: DataFrame, rows: DataFrame, passage: int) -> DataFrame:
     seeds = marks.groupBy("seed").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     seeds = stored(seeds.where("least <> most").select("seed"), "seeds")
     marks = stored(perhaps_among(marks, seeds, "seed"), "marks")
-    told = repeated_reaches(docs, marks.select("doc_id", "seed", "reach"), passage, min(SEED, passage), sift=True)
+    told = repeated_reaches(docs, marks.select("doc_id", "seed", "reach"), passage, min(SEED, passage))
     each = marks.join(told, "reach").select("doc_id", "text", F.col("low").alias("at"), "size", F.inline("runs"))
     span = F.struct(
         (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.coalesce("high", F.col("size") - 1) + passage).alias("high"),

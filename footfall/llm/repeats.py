@@ -199,10 +199,10 @@ def flagged_reaches(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     )
 
 
-def repeated_reaches(docs: DataFrame, suffixes: DataFrame, length: int = LENGTH, seed: int = SEED, sift: bool = False) -> DataFrame:
+def repeated_reaches(docs: DataFrame, suffixes: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """``(reach, runs)``: the reaches among ``suffixes``, rows ``(doc_id, seed, reach)``, that have repeated windows.
 
-    With ``sift`` few other texts than those whose windows are compared are moved.
+    Few other texts than those whose windows are compared are moved.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     reaches = suffixes.groupBy("seed", "reach").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -217,10 +217,8 @@ def repeated_reaches(docs: DataFrame, suffixes: DataFrame, length: int = LENGTH,
     # Several: the windows of each, from the first document that has it.
     parts = shared.where("n > 1").select("reach", "first", "last")
     wanted = parts.groupBy("first").agg(F.collect_set("reach").alias("reaches")).withColumnRenamed("first", "doc_id")
-    if sift:
-        wanted = stored(wanted, "wanted")
-        docs = perhaps_among(docs, wanted, "doc_id")
-    windows = docs.join(wanted, "doc_id").mapInArrow(
+    wanted = stored(wanted, "wanted")
+    windows = perhaps_among(docs, wanted, "doc_id").join(wanted, "doc_id").mapInArrow(
         _windows(length, seed), "one bigint, two bigint, reach bigint, place int"
     )
     windows = stored(windows.distinct().join(parts.groupBy("reach").agg(F.min("first").alias("first"), F.max("last").alias("last")), "reach"), "windows")
@@ -247,7 +245,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     document itself, the passage stays.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(flagged_reaches(docs, length, seed), "doc_id").withColumnRenamed("flagged", "__flagged")
+    flagged = stored(flagged_reaches(docs, length, seed), "flagged")
+    rows = perhaps_among(docs.select("doc_id", "text"), flagged, "doc_id").join(flagged, "doc_id").withColumnRenamed("flagged", "__flagged")
     spans = f"doc_id {kind}, spans array<struct<start:bigint,end:bigint,n_words:bigint,first_doc:{kind},removed:boolean>>"
     return rows.mapInArrow(_spans(length, seed, [], False), spans).select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.*")
 
